@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.llm import encoding, splitting, survivors
+from statuta.llm import encoding, langid, leakage, splitting, survivors
 from statuta.session import table
 
 
@@ -52,6 +52,35 @@ def p6_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return leakage.leaks(docs, table(spark, d, "eval_items").select("item_id", "passage"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d)
+
+
+def _language_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return table(spark, d, "documents").select("doc_id", "text", "lang"), table(spark, d, "lang_samples")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return langid.relabelled(*_language_inputs(spark, d)).select("doc_id", "lang")
+
+
+def p8_segments(spark: SparkSession, d: str) -> DataFrame:
+    return langid.detect_segments(*_language_inputs(spark, d))
+
+
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    return langid.document_languages(langid.detect_segments(*_language_inputs(spark, d)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
@@ -61,6 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_sources": p5_sources,
     "p6_ids": p6_ids,
     "p6_roundtrip": p6_roundtrip,
+    "p7_found": p7_found,
+    "p7_report": p7_report,
+    "p8_found": p8_found,
+    "p8_segments": p8_segments,
+    "p8_documents": p8_documents,
 }
 
 SQL: dict[str, str] = {

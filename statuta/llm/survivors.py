@@ -41,7 +41,7 @@ LINK_STAND_INS = ("#", "/", "//", "http://", "https://", "about:blank")
 _WIDE = "０１２３４５６７８９（）［］＜＞〈〉【】〔〕－／＿．　"
 _PLAIN = "0123456789()[]<><>[][]-/_. "
 
-_BLANKS = r"(?U)[\s\x1c-\x1f​﻿]+"
+_BLANKS = r"(?U)[\s\x1c-\x1f" + "\N{ZERO WIDTH SPACE}\N{ZERO WIDTH NO-BREAK SPACE}]+"
 
 #: Iterations of the quality model at most, and the change at which it ends.
 ROUNDS, SETTLED = 12, 1e-3
