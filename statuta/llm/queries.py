@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.llm import encoding, langid, leakage, splitting, survivors
+from statuta.llm import encoding, langid, leakage, residue, splitting, survivors
 from statuta.session import table
 
 
+def _titled(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "units").select("unit_id", "title", "text")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue_units(_titled(spark, d)).select("unit_id")
+
+
+def p1_templates(spark: SparkSession, d: str) -> DataFrame:
+    return residue.templates(residue.suspicious_segments(_titled(spark, d)))
+
+
+def p1_clean(spark: SparkSession, d: str) -> DataFrame:
+    return residue.clean_units(_titled(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return splitting.oversized(table(spark, d, "units").select("unit_id", "text"))
 
@@ -82,6 +98,9 @@ def p8_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_templates": p1_templates,
+    "p1_clean": p1_clean,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
     "p5_found": p5_found,
