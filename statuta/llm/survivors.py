@@ -123,7 +123,8 @@ def annex_claims(units: DataFrame, trust: DataFrame) -> DataFrame:
             F.concat(F.lit("unit:"), F.col("b.unit_id").cast("string")),
         ).alias("annex"),
     )
-    return numbered.withColumn("annex", F.col("annex_no_key")).unionByName(found)
+    # the annexes are a small part of the units and read many times from here on
+    return durable(numbered.withColumn("annex", F.col("annex_no_key")).unionByName(found))
 
 
 _KEY = ("mst", "level", "annex")
