@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statuta.session import spread
+from statuta.session import durable, spread
 
 #: Least share of the smaller field's values that a renamed field must share.
 HELD = 0.5
@@ -304,10 +304,19 @@ def _report(fields: DataFrame, renames: DataFrame) -> DataFrame:
     )
 
 
+def matched(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fields of neighbouring files, renames).
+
+    Both hold a row for each field of a file and are read several times, so
+    each is written once; the records themselves never are.
+    """
+    fields = durable(compared(durable(profiles(feed))))
+    return fields, durable(correspondences(field_overlaps(feed, fields)))
+
+
 def drift_report(feed: DataFrame) -> DataFrame:
     """Every change between a file and its provider's file before it."""
-    fields = compared(profiles(feed))
-    return _report(fields, correspondences(field_overlaps(feed, fields)))
+    return _report(*matched(feed))
 
 
 # The fields of the unified annex table.

@@ -36,8 +36,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_annexes(spark: SparkSession, d: str) -> DataFrame:
     feed = table(spark, d, "annex_feed")
-    fields = drift.compared(drift.profiles(feed))
-    renames = drift.correspondences(drift.field_overlaps(feed, fields))
+    _, renames = drift.matched(feed)
     return drift.unified_table(feed, drift.canonical_names(renames))
 
 
