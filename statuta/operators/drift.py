@@ -210,7 +210,7 @@ def name_similarity(a: str, b: str) -> float:
     return 2 * len(grams[0] & grams[1]) / (len(grams[0]) + len(grams[1]))
 
 
-def flood(pairs: pd.DataFrame, rounds: int = 50, settled: float = 1e-4) -> np.ndarray:
+def flood(pairs: list[dict], rounds: int = 50, settled: float = 1e-4) -> np.ndarray:
     """Converged similarity-flooding scores of the field pairs of two schemas.
 
     ``pairs``: old_field, new_field, types_a, types_b, n_old, n_new, n_both.
@@ -218,63 +218,82 @@ def flood(pairs: pd.DataFrame, rounds: int = 50, settled: float = 1e-4) -> np.nd
     pairs, the pairs of types and the pairs of value sets; an edge label's
     weight is shared equally among the edges that leave a node under it.
     """
-    smaller = np.maximum(1, np.minimum(pairs["n_old"], pairs["n_new"]))
-    held = (pairs["n_both"] / smaller).to_numpy(float)
-    names = np.array([name_similarity(a, b) for a, b in zip(pairs["old_field"], pairs["new_field"])])
-    types = np.array([float(bool(set(a) & set(b))) for a, b in zip(pairs["types_a"], pairs["types_b"])])
-    wv, wn, wt = WEIGHTS
     n = len(pairs)
-    type_pairs = sorted({(s, t) for a, b in zip(pairs["types_a"], pairs["types_b"]) for s in a for t in b})
-    at = {p: n + 1 + k for k, p in enumerate(type_pairs)}
-    size = n + 1 + len(type_pairs) + n
+    held = np.array([_held(p) for p in pairs])
+    names = np.array([name_similarity(p["old_field"], p["new_field"]) for p in pairs])
+    types = np.array([float(bool(set(p["types_a"]) & set(p["types_b"]))) for p in pairs])
+    linked = [[(s, t) for s in p["types_a"] for t in p["types_b"]] for p in pairs]
+    at = {pair: n + 1 + k for k, pair in enumerate(sorted({x for row in linked for x in row}))}
+    size = n + 1 + len(at) + n
+    wv, wn, wt = WEIGHTS
     start = np.zeros(size)
     start[:n] = wv * held + wn * names + wt * types
     start[n] = 1.0
     for (s, t), k in at.items():
         start[k] = float(s == t)
     start[size - n :] = held
-    spread_to = np.zeros((size, size))
-    for k, (a, b) in enumerate(zip(pairs["types_a"], pairs["types_b"])):
-        spread_to[k, n] += 1.0 / n
-        spread_to[n, k] += 1.0
-        spread_to[k, size - n + k] += 1.0
-        spread_to[size - n + k, k] += 1.0
-        linked = [at[s, t] for s in a for t in b]
-        for j in linked:
-            spread_to[j, k] += 1.0 / len(linked)
-    fan = np.maximum(1, (spread_to[n + 1 : size - n] > 0).sum(axis=1, keepdims=True))
-    spread_to[:n, n + 1 : size - n] += (spread_to[n + 1 : size - n, :n] / fan).T
+    edges = np.zeros((size, size))
+    field, values = np.arange(n), np.arange(size - n, size)
+    edges[field, n], edges[n, field] = 1.0 / n, 1.0
+    edges[field, values] = edges[values, field] = 1.0
+    users = {k: sum(k in {at[x] for x in row} for row in linked) for k in at.values()}
+    for k, row in enumerate(linked):
+        for x in row:
+            edges[at[x], k] += 1.0 / len(row)
+            edges[k, at[x]] += 1.0 / users[at[x]]
     score = start / start.max()
     for _ in range(rounds):
-        grown = start + score + spread_to @ (start + score)
+        grown = start + score + edges @ (start + score)
         grown /= grown.max()
-        if np.abs(grown - score).max() < settled:
-            score = grown
-            break
+        change = np.abs(grown - score).max()
         score = grown
+        if change < settled:
+            break
     return score[:n]
 
 
+def _held(pair: dict) -> float:
+    """Share of the smaller field's values that both fields hold."""
+    return pair["n_both"] / max(1, min(pair["n_old"], pair["n_new"]))
+
+
+def _consistent(pairs: list[dict]) -> list[tuple[str, str, float]]:
+    """(old field, new field, score) of the one-to-one renames of a file."""
+    pairs = sorted(pairs, key=lambda p: (p["old_field"], p["new_field"]))
+    ranked = sorted(zip(flood(pairs), pairs), key=lambda x: (-x[0], -x[1]["n_both"]))
+    taken: tuple[set, set] = (set(), set())
+    out = []
+    for score, pair in ranked:
+        a, b = pair["old_field"], pair["new_field"]
+        if _held(pair) >= HELD and a not in taken[0] and b not in taken[1]:
+            taken[0].add(a)
+            taken[1].add(b)
+            out.append((a, b, float(score)))
+    return out
+
+
 def correspondences(overlaps: DataFrame) -> DataFrame:
-    """file_id, old_field, new_field, score: the consistent renames of each file."""
-    schema = "file_id long, old_field string, new_field string, score double"
+    """file_id, old_field, new_field, score: the consistent renames of each file.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["old_field", "new_field"], ignore_index=True)
-        pdf["score"] = flood(pdf)
-        smaller = np.maximum(1, np.minimum(pdf["n_old"], pdf["n_new"]))
-        pdf = pdf[pdf["n_both"] / smaller >= HELD].sort_values(
-            ["score", "n_both", "old_field", "new_field"], ascending=[False, False, True, True]
-        )
-        taken_old, taken_new, keep = set(), set(), []
-        for k, a, b in zip(pdf.index, pdf["old_field"], pdf["new_field"]):
-            if a not in taken_old and b not in taken_new:
-                taken_old.add(a)
-                taken_new.add(b)
-                keep.append(k)
-        return pdf.loc[keep, ["file_id", "old_field", "new_field", "score"]]
-
-    return overlaps.groupBy("file_id").applyInPandas(run, schema)
+    A file's pairs travel as one row; their number follows its fields.
+    """
+    columns = ["old_field", "new_field", "types_a", "types_b", "n_old", "n_new", "n_both"]
+    by_file = overlaps.groupBy("file_id").agg(F.collect_list(F.struct(*columns)).alias("pairs"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (file, *found)
+                for file, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for found in _consistent(pairs)
+            ]
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.float64())
+            columns = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds)], names=["file_id", "old_field", "new_field", "score"]
+            )
+
+    return by_file.mapInArrow(run, "file_id long, old_field string, new_field string, score double")
 
 
 def _report(fields: DataFrame, renames: DataFrame) -> DataFrame:
