@@ -280,7 +280,7 @@ def subtype_table(nodes: DataFrame, kind: str, id_col: str = "raw_id", variant:
         "항": [F.col("number").alias("paragraph_no"), "content"],
         "호": [F.col("number").alias("item_no"), "content"],
         "목": [F.col("number").alias("subitem_no"), "content"],
-        "부칙": [F.try_to_date("number", F.lit("yyyyMMdd")).alias("promulgated_on"), "title", "content"],
+        "부칙": [F.try_to_date("number", "yyyyMMdd").alias("promulgated_on"), "title", "content"],
         "별표": [F.col("number").alias("annex_no"), "title", "content"],
         "링크": [
             F.col("content").alias("url"),

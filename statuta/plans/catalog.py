@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.plans import restructuring
+from statuta.plans import restructuring, statutes
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**restructuring.QUERIES}
-SQL: dict[str, str] = {**restructuring.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**statutes.QUERIES, **restructuring.QUERIES}
+SQL: dict[str, str] = {**statutes.SQL, **restructuring.SQL}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hybrid search over the largest law."""
+    return statutes.hybrid_search(spark, sf_dir)
