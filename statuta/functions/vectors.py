@@ -50,3 +50,28 @@ def hash_embedding(text: Column) -> Column:
     centred = F.transform(centred, lambda x: (x.cast("double") - F.lit(1.0)).cast("float"))
     norm = F.sqrt(dot(centred, centred)).cast("float").cast("double")
     return F.transform(centred, lambda x: (x.cast("double") / norm).cast("float"))
+
+
+def hash_embedding_batch(text: Column) -> Column:
+    """``hash_embedding`` in Arrow batches, for whole tables.
+
+    The composition of built-in functions is inlined by the optimizer wherever
+    the vector is used, and then computed again for each use; this is not.
+    """
+
+    @F.pandas_udf("array<float>")
+    def run(texts):  # noqa: ANN001
+        import hashlib
+
+        import numpy as np
+        import pandas as pd
+
+        raw = b"".join(hashlib.sha256((t or "").encode("utf-8")).digest() for t in texts)
+        words = np.frombuffer(raw, dtype=">u4").reshape(-1, 8).astype(np.float32)
+        centred = np.float32(2.0) * (words / np.float32(4294967295.0)) - np.float32(1.0)
+        norm = np.sqrt((centred.astype(float) ** 2).sum(axis=1)).astype(np.float32)
+        norm[norm == 0] = 1.0
+        return pd.Series(list((centred.astype(float) / norm.astype(float)[:, None]).astype(np.float32)))
+
+    run.__annotations__ = {}
+    return run(text)

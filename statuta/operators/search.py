@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from statuta.functions import text as X
 from statuta.functions import vectors as V
 from statuta.operators import units as U
+from statuta.session import durable
 
 #: Neighbours fetched for each one returned, and the distance of injected units.
 OVERFETCH, FAR = 20, 1e9
@@ -80,17 +81,25 @@ def embed_input() -> Column:
     return X.strip(F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit(""))))
 
 
-def considered(units: DataFrame, queries: DataFrame) -> DataFrame:
+_INDEXED = (
+    "mst", "faiss_id", "level", "annex_no", "jo", "hang", "hang_norm", "mok", "mok_norm", "jo_norm", "title", "text", "path",
+    "display_path_norm", "annex_refs", "effective_date",
+)
+
+
+def indexed(units: DataFrame) -> DataFrame:
+    """The search index: normalised units with ``faiss_id`` and their vector ``v``.
+
+    It is written once; questions only read it.
+    """
+    return durable(units.select(*_INDEXED, V.hash_embedding_batch(embed_input()).alias("v")))
+
+
+def considered(index: DataFrame, queries: DataFrame) -> DataFrame:
     """Each unit with each question of its law: distance, validity, citation matches."""
-    asked = queries.select(
-        "qid", "mst", "as_of", V.sanitize(V.hash_embedding(F.col("query"))).alias("q"), X.citation(X.strip(F.col("query"))).alias("c")
-    )
-    own = units.select(
-        "mst", "faiss_id", "level", "annex_no", "jo", "hang", "hang_norm", "mok", "mok_norm", "jo_norm", "title", "text", "path",
-        "display_path_norm", "annex_refs", "effective_date", V.sanitize(V.hash_embedding(embed_input())).alias("v"),
-    )
+    asked = queries.select("qid", "mst", "as_of", V.hash_embedding_batch(F.col("query")).alias("q"), X.citation(X.strip(F.col("query"))).alias("c"))
     cite = [F.col("c.jo"), F.col("c.hang"), F.col("c.mok")]
-    return own.join(F.broadcast(asked), "mst").select(
+    return index.join(F.broadcast(asked), "mst").select(
         "*",
         V.squared_distance(F.col("v"), F.col("q")).alias("dist"),
         U.active_as_of(F.col("as_of")).alias("active"),
@@ -207,7 +216,7 @@ def search(units: DataFrame, queries: DataFrame, top_k: int = 10, strict: bool =
     """
     if top_k < 1:
         raise ValueError("top_k must be at least 1")
-    found = candidates(considered(units, queries), top_k, strict, require_jo)
+    found = candidates(considered(indexed(units), queries), top_k, strict, require_jo)
     return with_guarantee(ranked(found, strict), top_k).select("qid", "rank", *HIT)
 
 
@@ -217,7 +226,7 @@ def reranked_by_parts(units: DataFrame, queries: DataFrame, top_k: int = 10) ->
     Up to 200 leniently matching units (in id order) join the neighbours.
     """
     cite = [F.col("c.jo"), F.col("c.hang"), F.col("c.mok")]
-    base = considered(units, queries).withColumn("lenient", U.matches_leniently(*cite))
+    base = considered(indexed(units), queries).withColumn("lenient", U.matches_leniently(*cite))
     order = Window.partitionBy("qid").orderBy("dist", "faiss_id")
     near = base.withColumn("n", F.row_number().over(order)).where(F.col("n") <= OVERFETCH * top_k).withColumn("distance", F.col("dist"))
     asked = X.filled(F.col("c.jo")).isNotNull() | F.col("c.hang").isNotNull() | F.col("c.mok").isNotNull()

@@ -323,7 +323,7 @@ def jo_codes(spark, d):
     return _units(spark, d).select("unit_id", X.article_code(F.col("jo")).alias("code"))
 
 
-@query(rf"""SELECT unit_id, {_strip(r"regexp_replace(coalesce(title, ''), '[/:*?""<>|]+', '_', 'g')".replace('""', '"'))} AS name FROM units""")
+@query(rf"""SELECT unit_id, {_strip("regexp_replace(coalesce(title, ''), '[/:*?" + chr(34) + "<>|]+', '_', 'g')")} AS name FROM units""")
 def safe_filename(spark, d):
     return _units(spark, d).select("unit_id", X.safe_filename(F.coalesce("title", F.lit(""))).alias("name"))
 
@@ -643,7 +643,7 @@ _TOP = 5
 
 
 def _found(spark, d):
-    return search.candidates(search.considered(_ids(spark, d), _questions(spark)), _TOP)
+    return search.candidates(search.considered(search.indexed(_ids(spark, d)), _questions(spark)), _TOP)
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id, stage FROM cand")
