@@ -116,7 +116,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_documents": p8_documents,
 }
 
+_BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]+"
+
+
+def _plain(x: str) -> str:
+    return f"translate({x}, '{survivors._WIDE}', '{survivors._PLAIN}')"
+
+
+def _usable(x: str) -> str:
+    values = ", ".join(f"'{v}'" for v in survivors.STAND_INS)
+    return f"({x} IS NOT NULL AND lower(regexp_replace({_plain(x)}, '{_BLANK}', '', 'g')) NOT IN ({values}))"
+
+
+def _link(x: str) -> str:
+    bare = f"regexp_replace({x}, '{_BLANK}', '', 'g')"
+    values = ", ".join(f"'{v}'" for v in survivors.LINK_STAND_INS)
+    return f"({_usable(x)} AND lower({bare}) NOT IN ({values}) AND NOT regexp_matches(lower({bare}), '^(?:#|javascript:|about:)'))"
+
+
+_BARE = rf"regexp_replace(regexp_replace({_plain('annex_no')}, '{_BLANK}', '', 'g'), '[\[\]<>().]|별표|별지|서식|제|호', '', 'g')"
+_P5 = rf"""WITH a0 AS (SELECT u.unit_id, u.mst, u.level, u.annex_no, u.title, u.links.html AS html, u.links.pdf AS pdf, u.links.detail AS detail, u.collected_at,
+    coalesce(t.trust, -2147483648) AS trust, {_BARE} AS bare FROM units u LEFT JOIN trust_sources t USING (source_name) WHERE u.level IN ('별표', '서식')),
+a1 AS (SELECT *, CASE WHEN regexp_matches(bare, '^\d{{6}}$') THEN ltrim(bare[:4], '0') ELSE ltrim(regexp_extract(bare, '^(\d+)(?:[의\-_/](\d+))?$', 1), '0') END AS head,
+    CASE WHEN regexp_matches(bare, '^\d{{6}}$') THEN ltrim(bare[5:], '0') ELSE ltrim(regexp_extract(bare, '^(\d+)(?:[의\-_/](\d+))?$', 2), '0') END AS tail FROM a0),
+a2 AS (SELECT *, CASE WHEN NOT {_usable('annex_no')} THEN NULL WHEN head <> '' THEN head || CASE WHEN tail <> '' THEN '의' || tail ELSE '' END
+      WHEN regexp_matches(bare, '[0-9A-Za-z가-힣]') AND NOT regexp_matches(bare, '^(\d+)(?:[의\-_/](\d+))?$') THEN bare END AS num,
+    CASE WHEN {_usable('title')} THEN nullif(lower(regexp_replace(regexp_replace(regexp_replace({_plain('title')}, '^\s*[\[<(]\s*(?:별표|별지|서식)[^\]>)]*[\]>)]', ''), '\([^()]*관련\s*\)\s*$', ''), '{_BLANK}', '', 'g')), '') END AS tk FROM a1),
+titled AS (SELECT mst, level, tk, min(num) AS via FROM a2 WHERE num IS NOT NULL AND tk IS NOT NULL GROUP BY ALL),
+a3 AS (SELECT a2.*, coalesce(num, via, 'title:' || a2.tk, 'unit:' || unit_id) AS annex FROM a2 LEFT JOIN titled t ON a2.mst = t.mst AND a2.level = t.level AND a2.tk = t.tk),
+g AS (SELECT *, min(unit_id) OVER w AS group_id, count(*) OVER w AS n FROM a3 WINDOW w AS (PARTITION BY mst, level, annex)),
+f AS (SELECT group_id, unit_id, trust, collected_at, unnest([{{'f': 'annex_no', 'ok': num IS NOT NULL}}, {{'f': 'title', 'ok': {_usable('title')}}}, {{'f': 'html', 'ok': {_link('html')}}},
+    {{'f': 'pdf', 'ok': {_link('pdf')}}}, {{'f': 'detail', 'ok': {_link('detail')}}}]) AS x FROM g WHERE n > 1)
+SELECT group_id, field, unit_id FROM (SELECT group_id, x.f AS field, unit_id, row_number() OVER (PARTITION BY group_id, x.f ORDER BY trust DESC, collected_at DESC NULLS LAST, unit_id) AS nth FROM f WHERE x.ok) WHERE nth = 1"""
+
 SQL: dict[str, str] = {
+    "p5_found": _P5,
     "p4_found": "SELECT unit_id FROM units WHERE length(text) > 2000",
     "p6_roundtrip": """
         SELECT doc_id, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS digest FROM documents

@@ -38,7 +38,7 @@ STAND_INS = ("", "-", "–", "—", "none", "null", "n/a", "nan", "undefined", "
 LINK_STAND_INS = ("#", "/", "//", "http://", "https://", "about:blank")
 
 # Full-width forms and their plain ones.
-_WIDE = "０１２３４５６７８９（）［］＜＞〈〉【】〔〕－／＿．　"
+_WIDE = "０１２３４５６７８９（）［］＜＞〈〉【】〔〕－／＿．\u3000"
 _PLAIN = "0123456789()[]<><>[][]-/_. "
 
 _BLANKS = r"(?U)[\s\x1c-\x1f" + "\N{ZERO WIDTH SPACE}\N{ZERO WIDTH NO-BREAK SPACE}]+"
