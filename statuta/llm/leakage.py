@@ -45,11 +45,11 @@ ALTERED = 0.2
 STANDING, STANDING_LEAST = 0.004, 5
 #: Walk lengths, longest first.  A sentence takes the first of which it has
 #: enough windows; with the shortest, documents have a window at each character.
-WALKS = (48, 24, 12)
+WALKS = (32, 16, 12)
 LEAST = 8
 #: Walks, samples of each, positions in a sample, and the distance between a
 #: document's windows.
-N_WALKS, N_SAMPLES, BITS, STRIDE = 2, 4, 8, 4
+N_WALKS, N_SAMPLES, BITS, STRIDE = 3, 4, 9, 4
 #: Share of a window's positions that an altered word changes, and windows of a
 #: leaked sentence that hold at most one such word; together they give
 #: ``RECALL``, the least expected recall of the candidate search.
