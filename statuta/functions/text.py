@@ -7,6 +7,8 @@ trimmed; a missing value gives a null unless stated otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def group(column: Column, pattern: str, index: int) -> Column:
     return F.nullif(F.regexp_extract(column, pattern, index), F.lit(""))
 
 
+def let(column: Column, function: Callable[[Column], Column]) -> Column:
+    """``function`` of a column that is computed once, however often it is used there."""
+    return F.element_at(F.transform(F.array(column), function), 1)
+
+
 def strip(column: Column) -> Column:
     """The text without white space at both ends."""
     return F.regexp_replace(column, f"^[{_WS}]+|[{_WS}]+$", "")
@@ -45,9 +52,12 @@ def filled(column: Column) -> Column:
 
 def paragraph_number(column: Column) -> Column:
     """A circled number by itself, else the first run of digits."""
-    bare = strip(column)
-    circled = F.when(F.length(bare) == 1, F.nullif(F.instr(F.lit(CIRCLED), bare), F.lit(0)))
-    return F.coalesce(circled, group(bare, r"(\d+)", 1).try_cast("int"))
+
+    def read(bare: Column) -> Column:
+        circled = F.when(F.length(bare) == 1, F.nullif(F.instr(F.lit(CIRCLED), bare), F.lit(0)))
+        return F.coalesce(circled, group(bare, r"(\d+)", 1).try_cast("int"))
+
+    return let(strip(column), read)
 
 
 def item_number(column: Column) -> Column:
@@ -56,8 +66,8 @@ def item_number(column: Column) -> Column:
 
 
 def branch(number: Column, sub: Column) -> Column:
-    """``4`` or ``4의2``."""
-    return F.when(number.isNotNull(), F.concat(number, F.when(sub.isNotNull(), F.concat(F.lit("의"), sub)).otherwise("")))
+    """``4`` or ``4의2``; null without a number."""
+    return F.concat(number, F.coalesce(F.concat(F.lit("의"), sub), F.lit("")))
 
 
 def article(*columns: Column) -> Column:
@@ -66,23 +76,30 @@ def article(*columns: Column) -> Column:
     Of all columns' first citations the first with a branch number wins, else
     the first of all.
     """
-    found = [(group(c, ARTICLE, 1), group(c, ARTICLE, 2)) for c in columns]
-    branched = [F.when(sub.isNotNull(), F.struct(num.alias("n"), sub.alias("s"))) for num, sub in found]
-    plain = [F.when(num.isNotNull(), F.struct(num.alias("n"), sub.alias("s"))) for num, sub in found]
-    best = F.coalesce(*branched, *plain)
-    return F.struct(
-        branch(best["n"], best["s"]).alias("norm"),
-        best["n"].try_cast("int").alias("num"),
-        best["s"].try_cast("int").alias("suffix"),
+    cited = F.transform(
+        F.array(*columns),
+        lambda c: F.struct(F.regexp_extract(c, ARTICLE, 1).alias("n"), filled(F.regexp_extract(c, ARTICLE, 2)).alias("s")),
+    )
+    found = F.filter(cited, lambda c: F.coalesce(c["n"], F.lit("")) != "")
+    best = let(found, lambda f: F.coalesce(F.get(F.filter(f, lambda c: c["s"].isNotNull()), F.lit(0)), F.get(f, F.lit(0))))
+    return let(
+        best,
+        lambda b: F.struct(
+            branch(b["n"], b["s"]).alias("norm"), b["n"].try_cast("int").alias("num"), b["s"].try_cast("int").alias("suffix")
+        ),
     )
 
 
 def article_path(jo: Column) -> Column:
     """``제4조의2`` of ``4의2``; anything else as it is."""
     shape = r"^\s*(\d+)(?:\s*의\s*(\d+))?\s*$"
-    num, sub = group(jo, shape, 1).try_cast("bigint"), group(jo, shape, 2).try_cast("bigint")
-    head = F.concat(F.lit("제"), num.cast("string"), F.lit("조"))
-    return F.when(num.isNotNull(), F.concat(head, F.when(sub.isNotNull(), F.concat(F.lit("의"), sub.cast("string"))).otherwise(""))).otherwise(filled(jo))
+
+    def read(j: Column) -> Column:
+        num, sub = (group(j, shape, k).try_cast("bigint").cast("string") for k in (1, 2))
+        shown = F.concat(F.lit("제"), num, F.lit("조"), F.coalesce(F.concat(F.lit("의"), sub), F.lit("")))
+        return F.coalesce(shown, filled(j))
+
+    return let(jo, read)
 
 
 def display_path(jo: Column, hang: Column, mok: Column) -> Column:
@@ -99,12 +116,8 @@ def amendment_dates(column: Column) -> Column:
     """ISO dates inside amendment tags, each once, in order of appearance; not checked against the calendar."""
     tags = F.regexp_extract_all(column, F.lit(AMENDED), F.lit(0))
     dates = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(DOTTED_DATE), F.lit(0))))
-    iso = F.transform(
-        dates,
-        lambda d: F.concat_ws(
-            "-", F.split(d, r"\.")[0], F.lpad(F.split(d, r"\.")[1], 2, "0"), F.lpad(F.split(d, r"\.")[2], 2, "0")
-        ),
-    )
+    parts = F.transform(dates, lambda d: F.split(d, r"\."))
+    iso = F.transform(parts, lambda p: F.concat_ws("-", p[0], F.lpad(p[1], 2, "0"), F.lpad(p[2], 2, "0")))
     return F.coalesce(F.array_distinct(iso), F.array().cast("array<string>"))
 
 
@@ -130,19 +143,26 @@ def annex_number(column: Column) -> Column:
 def annex_number_human(column: Column) -> Column:
     """Six digits read as four of the number and two of its branch; '' for none,
     null where it isn't a number."""
+
+    def read(code: Column) -> Column:
+        head, tail = F.substring(code, 1, 4).try_cast("int"), F.substring(code, 5, 100).try_cast("int")
+        human = F.concat(head.cast("string"), F.when(tail != 0, F.concat(F.lit("의"), tail.cast("string"))).otherwise(""))
+        return F.when(code.rlike(r"^\d+$"), human)
+
     code = F.when(F.length(column) < 6, F.lpad(column, 6, "0")).otherwise(column)
-    head, tail = F.substring(code, 1, 4).try_cast("int"), F.substring(code, 5, 100).try_cast("int")
-    human = F.concat(head.cast("string"), F.when(tail != 0, F.concat(F.lit("의"), tail.cast("string"))).otherwise(""))
-    return F.when(F.coalesce(column, F.lit("")) == "", "").when(code.rlike(r"^\d+$"), human)
+    return F.when(F.coalesce(column, F.lit("")) == "", "").otherwise(let(code, read))
 
 
 def as_of_date(column: Column) -> Column:
     """The date in the first ten characters, if it is three numbers parted by dashes."""
-    head = F.left(strip(column), F.lit(10))
     shape = r"^\s*(\d+)\s*-\s*(\d+)\s*-\s*(\d+)\s*$"
-    parts = [group(head, shape, k).try_cast("int") for k in (1, 2, 3)]
-    text = F.format_string("%04d-%02d-%02d", *parts)
-    return F.when(head.rlike(shape) & (parts[0] <= 9999), F.try_to_date(text, "yyyy-MM-dd"))
+
+    def read(head: Column) -> Column:
+        parts = [group(head, shape, k).try_cast("int") for k in (1, 2, 3)]
+        text = F.format_string("%04d-%02d-%02d", *parts)
+        return F.when(head.rlike(shape) & (parts[0] <= 9999), F.try_to_date(text, "yyyy-MM-dd"))
+
+    return let(F.left(strip(column), F.lit(10)), read)
 
 
 def citation(column: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from statuta.functions.text import let
+
 #: What a zero vector gets as its first component.
 TINY = 1e-6
 
@@ -44,12 +46,12 @@ def hash_embedding(text: Column) -> Column:
     steps are rounded to single precision.
     """
     digest = F.sha2(F.coalesce(text, F.lit("")), 256)
-    words = F.array(*(F.conv(F.substring(digest, 1 + 8 * k, 8), 16, 10).cast("double").cast("float") for k in range(8)))
+    words = let(digest, lambda d: F.array(*(F.conv(F.substring(d, 1 + 8 * k, 8), 16, 10).cast("double").cast("float") for k in range(8))))
     scaled = F.transform(words, lambda w: (w.cast("double") / F.lit(4294967295.0).cast("float").cast("double")).cast("float"))
     centred = F.transform(scaled, lambda x: (F.lit(2.0) * x.cast("double")).cast("float"))
     centred = F.transform(centred, lambda x: (x.cast("double") - F.lit(1.0)).cast("float"))
-    norm = F.sqrt(dot(centred, centred)).cast("float").cast("double")
-    return F.transform(centred, lambda x: (x.cast("double") / norm).cast("float"))
+    norm = lambda c: F.sqrt(dot(c, c)).cast("float").cast("double")
+    return let(centred, lambda c: let(norm(c), lambda n: F.transform(c, lambda x: (x.cast("double") / n).cast("float"))))
 
 
 def hash_embedding_batch(text: Column) -> Column:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from statuta.functions import text as X
 from statuta.operators.units import ANNEX
 
-_NONE = F.lit
-
-
 def heading() -> Column:
     """The heading line of a unit."""
     level, title = F.coalesce(X.strip(F.col("level")), F.lit("")), F.coalesce(X.strip(F.col("title")), F.lit(""))
@@ -96,7 +93,7 @@ def greedy_shards(sizes: DataFrame, key: str, order: str, size: str, limit: int)
     A row that would exceed the limit opens the next shard; one that exceeds it
     alone stays alone.  The shard of a row depends on the one before it, so each
     key is passed over once in order; only its sizes travel, streamed in sorted
-    batches, and nothing of a key is held but the running sum.
+    batches that spill, and nothing of a key is held but the running sum.
     """
     schema = f"{key} {sizes.schema[key].dataType.simpleString()}, {order} {sizes.schema[order].dataType.simpleString()}, shard int"
 
@@ -119,13 +116,28 @@ def greedy_shards(sizes: DataFrame, key: str, order: str, size: str, limit: int)
     return sorted_rows.mapInPandas(run, schema)
 
 
-def law_markdown(rows: DataFrame, *keys: str) -> DataFrame:
-    """One document for each value of ``keys``: title, number, then its units in order."""
+def header() -> Column:
+    """The lines above a document's first unit."""
+    return F.concat(F.lit("# "), F.col("law_title"), F.lit("\n\n_MST: "), F.col("mst"), F.lit("_\n\n"))
+
+
+def law_lines(rows: DataFrame) -> DataFrame:
+    """mst, pos, md: the parts of each law's document in order, its header at 0.
+
+    A law's document is as long as the law, so it stays rows; written by law and
+    sorted by ``pos`` they are the file.
+    """
+    heads = rows.groupBy("mst").agg(F.max("law_title").alias("law_title")).select("mst", F.lit(0).cast("long").alias("pos"), header().alias("md"))
+    return heads.unionByName(rows.select("mst", F.col("unit_id").alias("pos"), F.concat("md", F.lit("\n")).alias("md")))
+
+
+def shard_markdown(rows: DataFrame) -> DataFrame:
+    """mst, shard, law_title, md: one document a shard; the shards' size is bounded."""
     ordered = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("unit_id", "md"))), lambda r: F.concat(r["md"], F.lit("\n"))), ""
     )
-    head = F.concat(F.lit("# "), F.max("law_title"), F.lit("\n\n_MST: "), F.max("mst"), F.lit("_\n\n"))
-    return rows.groupBy(*keys).agg(F.max("law_title").alias("law_title"), F.concat(head, ordered).alias("md"))
+    one = rows.groupBy("mst", "shard").agg(F.max("law_title").alias("law_title"), ordered.alias("body"))
+    return one.select("mst", "shard", "law_title", F.concat(header(), F.col("body")).alias("md"))
 
 
 def annex_files(rows: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statuta.functions import text as X
+from statuta.session import durable
 
 #: Levels that lie in a law's body; the others are annexes, forms and addenda.
 BODY = ("조", "항", "목")
@@ -65,9 +66,23 @@ def deduplicated(units: DataFrame, order: str = "unit_id") -> DataFrame:
 
 
 def with_dense_ids(units: DataFrame, order: str = "unit_id", name: str = "faiss_id") -> DataFrame:
-    """Position of each unit in its law, from 0."""
-    rank = F.row_number().over(Window.partitionBy("mst").orderBy(order)) - 1
-    return units.withColumn(name, rank)
+    """Position of each unit in its law, from 0.
+
+    Units are laid out by ranges of (law, order), so a law of any size spreads
+    over many tasks; a unit's position is its place in its range plus the units
+    of its law in earlier ranges.  The layout is written once, as both parts
+    must see the same ranges.
+    """
+    ranged = durable(units.repartitionByRange("mst", order).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("mst", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("mst").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("mst", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("mst", "_range").orderBy(order)) - 1
+    rows = ranged.withColumn("_place", place).alias("r")
+    same = F.col("r.mst").eqNullSafe(F.col("s.mst")) & (F.col("r._range") == F.col("s._range"))
+    return rows.join(starts.alias("s"), same).select(
+        *(F.col(f"r.{c}") for c in units.columns), (F.col("s._start") + F.col("r._place")).cast("int").alias(name)
+    )
 
 
 def answers(units: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from statuta.functions import text as X
 from statuta.functions import vectors as V
 from statuta.operators import export, lookup, search
 from statuta.operators import units as U
-from statuta.session import table
+from statuta.session import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -131,7 +131,7 @@ def _units(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _norm(spark: SparkSession, d: str) -> DataFrame:
-    return U.normalised(_units(spark, d))
+    return U.normalised(spread(_units(spark, d), "unit_id"))
 
 
 def _ids(spark: SparkSession, d: str) -> DataFrame:
@@ -221,7 +221,7 @@ def sanitize_vec(spark, d):
 
 @query(f"SELECT unit_id, {', '.join(f'round(v[{k + 1}]::DOUBLE, 6) AS e{k}' for k in range(8))} FROM (SELECT unit_id, {_hash_vec('text')} AS v FROM units)")
 def hash_embed(spark, d):
-    v = _units(spark, d).select("unit_id", V.hash_embedding(F.col("text")).alias("v"))
+    v = spread(_units(spark, d).select("unit_id", "text"), "unit_id").select("unit_id", V.hash_embedding(F.col("text")).alias("v"))
     return v.select("unit_id", *(F.round(F.col("v")[k].cast("double"), 6).alias(f"e{k}") for k in range(8)))
 
 
@@ -722,7 +722,7 @@ rendered AS (SELECT mst, law_title, unit_id, level, annex_no, regexp_replace(con
 
 
 def _rendered(spark, d):
-    return export.rendered(export.titled(_units(spark, d), table(spark, d, "laws")))
+    return export.rendered(export.titled(spread(_units(spark, d), "unit_id"), table(spark, d, "laws")))
 
 
 @query(f"WITH {_RENDER} SELECT unit_id, md FROM rendered")
@@ -730,10 +730,13 @@ def unit_markdown(spark, d):
     return _rendered(spark, d).select("unit_id", "md")
 
 
-@query(f"WITH {_RENDER} SELECT mst, md5('# ' || max(law_title) || chr(10) || chr(10) || '_MST: ' || mst || '_' || chr(10) || chr(10) || string_agg(md || chr(10), '' ORDER BY unit_id)) AS digest FROM rendered GROUP BY mst")
+@query(
+    f"""WITH {_RENDER} SELECT mst, 0::BIGINT AS pos, '# ' || max(law_title) || chr(10) || chr(10) || '_MST: ' || mst || '_' || chr(10) || chr(10) AS md FROM rendered GROUP BY mst
+    UNION ALL SELECT mst, unit_id, md || chr(10) FROM rendered"""
+)
 def md_export(spark, d):
-    """One document a law, as its digest."""
-    return export.law_markdown(_rendered(spark, d), "mst").select("mst", F.md5("md").alias("digest"))
+    """The parts of each law's document in order."""
+    return export.law_lines(_rendered(spark, d))
 
 
 @query(
@@ -749,7 +752,7 @@ def md_shard(spark, d):
     """Shards of each law's Markdown of at most 20,000 characters."""
     rows = _rendered(spark, d)
     shards = export.greedy_shards(rows.select("mst", "unit_id", F.length("md").alias("size")), "mst", "unit_id", "size", 20_000)
-    return export.shard_names(export.law_markdown(rows.join(shards, ["mst", "unit_id"]), "mst", "shard")).select("file_name", "mst", "shard", F.length("md").alias("size"))
+    return export.shard_names(export.shard_markdown(rows.join(shards, ["mst", "unit_id"]))).select("file_name", "mst", "shard", F.length("md").alias("size"))
 
 
 @query(
@@ -833,13 +836,13 @@ def empty_streak_cut(spark, d):
 
 
 @query(
-    """SELECT mst, string_agg(title, '' ORDER BY unit_id) AS titles FROM units WHERE level = '조' AND title IS NOT NULL GROUP BY mst"""
+    """SELECT mst, jo, string_agg(hang, '' ORDER BY unit_id) AS marks FROM units WHERE level = '항' AND hang IS NOT NULL GROUP BY mst, jo"""
 )
 def user_turn_concat(spark, d):
-    """Ordered concatenation of one text of each row of a group."""
-    rows = _units(spark, d).where("level = '조' and title is not null")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("unit_id", "title"))), lambda x: x["title"])
-    return rows.groupBy("mst").agg(F.array_join(ordered, "").alias("titles"))
+    """Ordered concatenation of a short text of each row of a group."""
+    rows = _units(spark, d).where("level = '항' and hang is not null")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("unit_id", "hang"))), lambda x: x["hang"])
+    return rows.groupBy("mst", "jo").agg(F.array_join(ordered, "").alias("marks"))
 
 
 @query(
