@@ -38,8 +38,9 @@ from pyspark.sql import types as T
 
 from statuta.session import durable, spread
 
-#: Greatest edit distance of a leaked sentence, as a share of its length.
-ALTERED = 0.2
+#: Greatest edit distance of a leaked sentence, as a share of its length.  Two
+#: long words that change places take more than a fifth of a short sentence.
+ALTERED = 0.23
 #: Sentences in more than this share of all documents, and in at least
 #: ``STANDING_LEAST`` different surroundings, are standing phrases.
 STANDING, STANDING_LEAST = 0.004, 5

@@ -58,7 +58,7 @@ def test_against_brute_force(spark):
                 if share <= 0.15:
                     close.add((doc, item))
     got = run(spark, docs, items)
-    assert close <= got <= want and len(got) >= 0.95 * len(want)
+    assert close <= got <= want and len(got) >= 0.9 * len(want)
 
 
 def test_standing_phrases_are_no_leaks(spark):
