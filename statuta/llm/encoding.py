@@ -81,7 +81,7 @@ def encode_bytes(raw: bytes | None, encoding: tiktoken.Encoding, size: int = LON
 
 def decode_ids(ids: Iterable[int], encoding: tiktoken.Encoding) -> str:
     """Text of ``ids``: the tokens' raw bytes joined first, decoded afterwards."""
-    return b"".join(encoding.decode_single_token_bytes(i) for i in ids).decode("utf-8", errors="replace")
+    return encoding.decode_bytes(list(ids)).decode("utf-8", errors="replace")
 
 
 def encode_corpus(
@@ -115,7 +115,7 @@ def decode_column(ids: Column, tokenizer_dir: str = TOKENIZER_DIR, vocabulary: s
         import pandas as pd
 
         encoding = encoder(path)
-        return pd.Series([None if x is None else decode_ids(map(int, x), encoding) for x in series], dtype=object)
+        return pd.Series([None if x is None else decode_ids(x.tolist(), encoding) for x in series], dtype=object)
 
     run.__annotations__.clear()
     return run(ids)
