@@ -60,6 +60,24 @@ def cut_at_empty_run(pages: DataFrame, key: str, order: str, empty: Column, run:
     return rows.withColumn("stop", stop).where(F.col("stop").isNull() | (F.col("page") <= F.col("stop"))).drop("block", "stop")
 
 
+def containing(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """listed_name, law_name: which distinct texts contain which names.
+
+    Every part of a distinct text is looked up among the names, so this is an
+    equi-join whose size follows the texts' lengths, and not texts times names.
+    """
+    name = F.col("listed_name")
+    ends = lambda start: F.sequence(start, F.length(name))
+    parts = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.length(name)),
+            lambda start: F.transform(ends(start), lambda end: F.substring(name, start, end - start + 1)),
+        )
+    )
+    split = texts.where(X.filled(name).isNotNull()).distinct().select("listed_name", F.explode(F.array_distinct(parts)).alias("law_name"))
+    return split.join(names.select("law_name").distinct(), "law_name").select("listed_name", "law_name")
+
+
 def attachments(questions: DataFrame, laws: DataFrame, annexes: DataFrame, listed: DataFrame, base: str) -> DataFrame:
     """Links of asked attachments, by the first source that has one.
 
@@ -76,12 +94,13 @@ def attachments(questions: DataFrame, laws: DataFrame, annexes: DataFrame, liste
         .where((X.plain_number(F.col("annex_no")) == F.col("attachment_number")) & X.filled(F.col("pdf")).isNotNull())
         .select("law_name", "attachment_number", "pdf", F.lit("document").alias("source"), F.lit(0).alias("tier"), "ord")
     )
-    # the questions are a stated query set; containment has no key to join by
     in_lists = (
         listed.withColumnRenamed("law_name", "listed_name")
-        .join(F.broadcast(asked), F.contains(F.col("listed_name"), F.col("law_name")) & (X.plain_number(F.col("annex_no")) == F.col("attachment_number")))
+        .join(containing(listed.select(F.col("law_name").alias("listed_name")), asked), "listed_name")
+        .withColumn("number", X.plain_number(F.col("annex_no")))
+        .join(asked.withColumnRenamed("attachment_number", "number"), ["law_name", "number"])
         .where(X.filled(F.col("pdf")).isNotNull())
-        .select("law_name", "attachment_number", "pdf", F.lit("annex_list").alias("source"), F.lit(1).alias("tier"), "ord")
+        .select("law_name", F.col("number").alias("attachment_number"), "pdf", F.lit("annex_list").alias("source"), F.lit(1).alias("tier"), "ord")
     )
     won = (
         in_document.unionByName(in_lists)

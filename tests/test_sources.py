@@ -67,5 +67,12 @@ def test_first_nonempty_with_null_keys(spark):
     assert sorted(r["v"] for r in lookup.first_nonempty([a, b], "k").collect()) == [1, 3]
 
 
+def test_containment(spark):
+    texts = spark.createDataFrame([("가나다 시행령",), ("가나",), ("",), (None,), ("가나다 시행령",)], "listed_name string")
+    names = spark.createDataFrame([("가나",), ("나다",), ("없다",), (None,)], "law_name string")
+    got = {(r["listed_name"], r["law_name"]) for r in lookup.containing(texts, names).collect()}
+    assert got == {("가나다 시행령", "가나"), ("가나다 시행령", "나다"), ("가나", "가나")}
+
+
 def test_queries_and_sql_agree_on_names():
     assert set(building.SQL) <= set(building.QUERIES)
