@@ -52,13 +52,16 @@ def _boundaries(text: str) -> list[list[int]]:
 
 
 def _cut(text: str, ranked: list[list[int]], start: int, end: int) -> int:
-    """The strongest boundary of ``text[start:end]`` near its midpoint."""
-    middle, reach = (start + end) // 2, max(1, int((end - start) * REACH))
-    for positions in ranked:
-        k = bisect_left(positions, middle)
-        near = [p for p in positions[max(0, k - 1) : k + 1] if start < p < end and abs(p - middle) <= reach]
-        if near:
-            return min(near, key=lambda p: (abs(p - middle), p))
+    """The strongest boundary of ``text[start:end]`` near its midpoint, or, if
+    there is none near, the strongest one anywhere in it."""
+    middle = (start + end) // 2
+    for share in (REACH, 0.5):
+        reach = max(1, int((end - start) * share))
+        for positions in ranked:
+            k = bisect_left(positions, middle)
+            near = [p for p in positions[max(0, k - 1) : k + 1] if start < p < end and abs(p - middle) <= reach]
+            if near:
+                return min(near, key=lambda p: (abs(p - middle), p))
     cut = middle
     while cut > start + 1 and _JOINED.match(text, cut):
         cut -= 1

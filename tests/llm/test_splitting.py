@@ -25,6 +25,11 @@ def test_the_strongest_boundary_near_the_middle_is_cut():
     assert text[S.bisect_spans(text, 80, 10)[1][0] :].startswith("나")
 
 
+def test_a_boundary_far_from_the_middle_is_better_than_none():
+    text = "가" * 10 + ". " + "나" * 90
+    assert S.bisect_spans(text, 95, 5)[0] == (0, 12)
+
+
 def test_a_text_without_boundaries_is_halved():
     assert S.bisect_spans("가" * 100, 60, 0) == [(0, 50), (50, 100)]
 
