@@ -39,7 +39,7 @@ def nearest(
     n_c = max(1, -(-corpus.count() // CORPUS_BLOCK))
     id_type = corpus.schema[id_col].dataType.simpleString()
     qid_type = queries.schema["qid"].dataType.simpleString()
-    blocks = lambda n: F.explode(F.array(*(F.lit(i) for i in range(n))))
+    blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = queries.select("qid", "q", F.pmod(F.xxhash64("qid"), F.lit(n_q)).cast("int").alias("qb"), blocks(n_c).alias("cb"))
     right = corpus.select(
         F.col(id_col).alias("id"), F.col(vec_col).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(n_c)).cast("int").alias("cb"), blocks(n_q).alias("qb")
