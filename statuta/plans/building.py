@@ -63,6 +63,68 @@ def built_units(spark, d):
     return numbered.select("mst", "faiss_id", "level", "jo_norm", "hang_norm", "mok_norm", "display_path_norm", "title", "text")
 
 
+_LAW = """laws1 AS (SELECT raw_id, CASE WHEN payload IS NULL OR NOT json_valid(payload) OR json_type(payload) <> 'OBJECT' THEN NULL
+    WHEN json_type(payload, '$."법령"') IS NULL THEN payload::JSON WHEN json_type(payload, '$."법령"') = 'ARRAY' THEN json_extract(payload, '$."법령"[0]') ELSE json_extract(payload, '$."법령"') END AS law FROM raw_laws),
+  laws2 AS (SELECT raw_id, CASE WHEN json_type(law) = 'OBJECT' THEN json_extract(law, '$."조문"') END AS a FROM laws1),
+  laws3 AS (SELECT raw_id, CASE WHEN json_type(a) = 'OBJECT' AND json_type(a, '$."조문"') IS NOT NULL THEN json_extract(a, '$."조문"') ELSE a END AS a FROM laws2),
+  items AS (SELECT raw_id, CASE WHEN a IS NULL OR json_type(a) = 'NULL' THEN [] WHEN json_type(a) = 'ARRAY' THEN json_extract(a, '$[*]') ELSE [a] END AS l FROM laws3)"""
+
+
+@query(f"WITH {_LAW} SELECT raw_id, len(l)::INT AS items FROM items")
+def normalize_root(spark, d):
+    """How many entries the articles' list of each document has once it is one."""
+
+    @F.pandas_udf("int")
+    def run(payloads):  # noqa: ANN001
+        return payloads.map(lambda p: len(documents.root(documents._load(p))["조문"]))
+
+    run.__annotations__ = {}
+    return table(spark, d, "raw_laws").select("raw_id", run(F.coalesce("payload", F.lit(""))).alias("items"))
+
+
+@query(
+    f"""WITH {_LAW} SELECT raw_id, coalesce(list_sum(list_transform(l, lambda x: CASE WHEN json_type(x) = 'OBJECT' AND json_type(x, '$."조문단위"') IS NOT NULL
+      THEN CASE json_type(x, '$."조문단위"') WHEN 'ARRAY' THEN json_array_length(x, '$."조문단위"')::INT WHEN 'NULL' THEN 0 ELSE 1 END ELSE 1 END)), 0)::INT AS articles FROM items"""
+)
+def flatten_articles(spark, d):
+    """How many articles each document has, whatever they are wrapped in."""
+
+    @F.pandas_udf("int")
+    def run(payloads):  # noqa: ANN001
+        return payloads.map(lambda p: len(documents.articles(documents.root(documents._load(p)))))
+
+    run.__annotations__ = {}
+    return table(spark, d, "raw_laws").select("raw_id", run(F.coalesce("payload", F.lit(""))).alias("articles"))
+
+
+@query(
+    """SELECT raw_id, count(*)::INT AS objects FROM raw_laws, json_tree(CASE WHEN json_valid(payload) THEN payload::JSON END) t
+    WHERE t.type = 'OBJECT' AND (json_type(t.value, '$."별표번호"') IS NOT NULL OR json_type(t.value, '$."별표서식PDF파일링크"') IS NOT NULL) GROUP BY raw_id"""
+)
+def deep_collect(spark, d):
+    """Objects with an annex number or a link, at any depth of each document."""
+
+    @F.pandas_udf("int")
+    def run(payloads):  # noqa: ANN001
+        return payloads.map(lambda p: len(documents.deep_objects(documents._load(p), "별표번호", "별표서식PDF파일링크")))
+
+    run.__annotations__ = {}
+    return table(spark, d, "raw_laws").select("raw_id", run(F.coalesce("payload", F.lit(""))).alias("objects")).where("objects > 0")
+
+
+@query(
+    """SELECT a.mst, a.jo, a.unit_id AS article_id, d.unit_id AS detail_id FROM (SELECT mst, jo, min(unit_id) AS unit_id FROM units WHERE level = '조' AND jo IS NOT NULL GROUP BY mst, jo) a
+    JOIN (SELECT mst, jo, unit_id FROM units WHERE level IN ('항', '목')) d ON a.mst = d.mst AND a.jo = d.jo
+    UNION ALL SELECT mst, jo, min(unit_id), min(unit_id) FROM units WHERE level = '조' AND jo IS NOT NULL GROUP BY mst, jo"""
+)
+def detail_merge(spark, d):
+    """Articles with the parts that their details add, by law and article."""
+    rows = table(spark, d, "units").select("mst", "jo", "level", "unit_id")
+    heads = rows.where("level = '조' and jo is not null").groupBy("mst", "jo").agg(F.min("unit_id").alias("article_id"))
+    parts = rows.where("level in ('항', '목')").select("mst", "jo", F.col("unit_id").alias("detail_id"))
+    return heads.join(parts, ["mst", "jo"]).unionByName(heads.withColumn("detail_id", F.col("article_id")))
+
+
 @query()
 def deep_name(spark, d):
     return documents.names_of(table(spark, d, "raw_laws"))
