@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,6 +133,7 @@ class Index:
 
     def __init__(self, sentences: list[str]):
         self.sentences, self.walks = sentences, Walks()
+        self.bags = [Counter(s) for s in sentences]
         self.tables: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         left = np.arange(len(sentences))
         for length in WALKS:
@@ -218,7 +219,11 @@ def matches(texts: list[str], index: Index) -> list[tuple[int, int, float, str]]
         sentence, text = index.sentences[k], texts[t]
         slack = max(12, len(sentence) // 4)
         start = max(0, place - slack)
-        distance, end = edit_search(sentence, text[start : place + len(sentence) + slack])
+        window = text[start : place + len(sentence) + slack]
+        # each character the window lacks takes an edit, so this loses nothing
+        if (index.bags[k] - Counter(window)).total() > ALTERED * len(sentence):
+            continue
+        distance, end = edit_search(sentence, window)
         share = distance / len(sentence)
         if share <= ALTERED and (known is None or share < known[0]):
             stop = start + end
