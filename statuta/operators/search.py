@@ -95,11 +95,15 @@ def indexed(units: DataFrame) -> DataFrame:
     return durable(units.select(*_INDEXED, V.hash_embedding_batch(embed_input()).alias("v")))
 
 
-def considered(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Each unit with each question of its law: distance, validity, citation matches."""
+def considered(index: DataFrame, queries: DataFrame, stated: bool = True) -> DataFrame:
+    """Each unit with each question of its law: distance, validity, citation matches.
+
+    A stated (small) set of questions is broadcast; one that grows with the
+    units is joined by law as the optimizer chooses.
+    """
     asked = queries.select("qid", "mst", "as_of", V.hash_embedding_batch(F.col("query")).alias("q"), X.citation(X.strip(F.col("query"))).alias("c"))
     cite = [F.col("c.jo"), F.col("c.hang"), F.col("c.mok")]
-    return index.join(F.broadcast(asked), "mst").select(
+    return index.join(F.broadcast(asked) if stated else asked, "mst").select(
         "*",
         V.squared_distance(F.col("v"), F.col("q")).alias("dist"),
         U.active_as_of(F.col("as_of")).alias("active"),
@@ -208,7 +212,9 @@ def with_guarantee(answers: DataFrame, top_k: int) -> DataFrame:
 HIT = ("faiss_id", "distance", "level", "annex_no", "jo", "hang", "hang_norm", "mok", "mok_norm", "title", "text", "path", "display_path_norm")
 
 
-def search(units: DataFrame, queries: DataFrame, top_k: int = 10, strict: bool = False, require_jo: bool = False) -> DataFrame:
+def search(
+    units: DataFrame, queries: DataFrame, top_k: int = 10, strict: bool = False, require_jo: bool = False, stated: bool = True
+) -> DataFrame:
     """qid, rank and the columns of ``HIT``: answers to all questions.
 
     ``units`` are normalised and carry ``faiss_id``; ``queries`` (qid, mst,
@@ -216,17 +222,17 @@ def search(units: DataFrame, queries: DataFrame, top_k: int = 10, strict: bool =
     """
     if top_k < 1:
         raise ValueError("top_k must be at least 1")
-    found = candidates(considered(indexed(units), queries), top_k, strict, require_jo)
+    found = candidates(considered(indexed(units), queries, stated), top_k, strict, require_jo)
     return with_guarantee(ranked(found, strict), top_k).select("qid", "rank", *HIT)
 
 
-def reranked_by_parts(units: DataFrame, queries: DataFrame, top_k: int = 10) -> DataFrame:
+def reranked_by_parts(units: DataFrame, queries: DataFrame, top_k: int = 10, stated: bool = True) -> DataFrame:
     """The other weighting: 2 for the article, 1 each for paragraph and item.
 
     Up to 200 leniently matching units (in id order) join the neighbours.
     """
     cite = [F.col("c.jo"), F.col("c.hang"), F.col("c.mok")]
-    base = considered(indexed(units), queries).withColumn("lenient", U.matches_leniently(*cite))
+    base = considered(indexed(units), queries, stated).withColumn("lenient", U.matches_leniently(*cite))
     order = Window.partitionBy("qid").orderBy("dist", "faiss_id")
     near = base.withColumn("n", F.row_number().over(order)).where(F.col("n") <= OVERFETCH * top_k).withColumn("distance", F.col("dist"))
     asked = X.filled(F.col("c.jo")).isNotNull() | F.col("c.hang").isNotNull() | F.col("c.mok").isNotNull()

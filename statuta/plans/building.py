@@ -316,3 +316,16 @@ _ASK = ", ".join(f"({i}, '{q}')" for i, _, q, _ in QUESTIONS)
 def tfidf_search(spark, d):
     asked = spark.createDataFrame([(i, q) for i, _, q, _ in QUESTIONS], "qid int, query string")
     return textsearch.tfidf_search(table(spark, d, "documents"), asked, 10)
+
+
+@query(
+    SQL["tfidf_search"].replace(
+        f"(VALUES {_ASK}) v(qid, query)", "(SELECT doc_id AS qid, coalesce(nullif(trim(title), ''), text) AS query FROM documents WHERE doc_id % 20 = 0)"
+    )
+)
+def tfidf_search_every20(spark, d):
+    """The same, asked by every twentieth document: its title, or its text if it has none."""
+    asked = table(spark, d, "documents").where("doc_id % 20 = 0").select(
+        F.col("doc_id").alias("qid"), F.coalesce(X.filled(F.trim("title")), F.col("text")).alias("query")
+    )
+    return textsearch.tfidf_search(table(spark, d, "documents"), asked, 10)

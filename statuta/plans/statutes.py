@@ -572,9 +572,10 @@ _BASE = f"""{IDS}, {_ASKED}, base AS (SELECT i.*, c.qid, c.query, c.as_of, c.c_j
   FROM ids i JOIN cited c USING (mst))"""
 
 
-def _asked(spark, d):
-    cite = X.citation(X.strip(F.col("query")))
-    return _ids(spark, d).drop("query").join(F.broadcast(_questions(spark).withColumn("c", cite)), "mst")
+def _asked(spark, d, questions=None):
+    """Units with the questions of their law: the stated ones, or those given, which may be many."""
+    asked = (_questions(spark) if questions is None else questions).withColumn("c", X.citation(X.strip(F.col("query"))))
+    return _ids(spark, d).drop("query").join(F.broadcast(asked) if questions is None else asked, "mst")
 
 
 def _cite():
@@ -582,13 +583,13 @@ def _cite():
 
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE active")
-def as_of_filter(spark, d):
-    return _asked(spark, d).where(U.active_as_of(F.col("as_of"))).select("qid", "unit_id")
+def as_of_filter(spark, d, questions=None):
+    return _asked(spark, d, questions).where(U.active_as_of(F.col("as_of"))).select("qid", "unit_id")
 
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE exact")
-def meta_match_all(spark, d):
-    return _asked(spark, d).where(U.matches_all(*_cite())).select("qid", "unit_id")
+def meta_match_all(spark, d, questions=None):
+    return _asked(spark, d, questions).where(U.matches_all(*_cite())).select("qid", "unit_id")
 
 
 @query(
@@ -596,19 +597,19 @@ def meta_match_all(spark, d):
       AND (c_hang IS NULL OR coalesce(hang_norm = c_hang, false) OR contains(shown, '제' || c_hang || '항'))
       AND (c_mok IS NULL OR coalesce(mok_norm = c_mok, false) OR contains(shown, '제' || c_mok || '호'))"""
 )
-def meta_match_lenient(spark, d):
-    return _asked(spark, d).where(U.matches_leniently(*_cite())).select("qid", "unit_id")
+def meta_match_lenient(spark, d, questions=None):
+    return _asked(spark, d, questions).where(U.matches_leniently(*_cite())).select("qid", "unit_id")
 
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE active AND matches >= 2")
-def meta_match_strict(spark, d):
-    rows = _asked(spark, d).withColumns({"active": U.active_as_of(F.col("as_of")), "matches": U.match_count(*_cite())})
+def meta_match_strict(spark, d, questions=None):
+    rows = _asked(spark, d, questions).withColumns({"active": U.active_as_of(F.col("as_of")), "matches": U.match_count(*_cite())})
     return rows.where(search.promoted(strict=True)).select("qid", "unit_id")
 
 
 @query(f"WITH {_BASE} SELECT qid, matches::INT AS matches, count(*) AS units FROM base GROUP BY qid, matches")
-def meta_match_count(spark, d):
-    rows = _asked(spark, d).withColumn("matches", U.match_count(*_cite()))
+def meta_match_count(spark, d, questions=None):
+    rows = _asked(spark, d, questions).withColumn("matches", U.match_count(*_cite()))
     return rows.groupBy("qid", "matches").agg(F.count(F.lit(1)).alias("units"))
 
 
@@ -642,45 +643,47 @@ kept AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY rk) AS rank FROM
 _TOP = 5
 
 
-def _found(spark, d):
-    return search.candidates(search.considered(search.indexed(_ids(spark, d)), _questions(spark)), _TOP)
+def _found(spark, d, questions=None):
+    asked = _questions(spark) if questions is None else questions
+    return search.candidates(search.considered(search.indexed(_ids(spark, d)), asked, stated=questions is None), _TOP)
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id, stage FROM cand")
-def candidate_union(spark, d):
-    return _found(spark, d).select("qid", "faiss_id", "stage")
+def candidate_union(spark, d, questions=None):
+    return _found(spark, d, questions).select("qid", "faiss_id", "stage")
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id FROM found WHERE seed_rank <= 10")
-def seed_select(spark, d):
-    return _found(spark, d).where((F.col("stage") < 2) & (F.col("seed_rank") <= max(10, 2 * _TOP))).select("qid", "faiss_id")
+def seed_select(spark, d, questions=None):
+    return _found(spark, d, questions).where((F.col("stage") < 2) & (F.col("seed_rank") <= max(10, 2 * _TOP))).select("qid", "faiss_id")
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id FROM cand WHERE is_target")
-def ref_semi_join(spark, d):
-    return _found(spark, d).where("is_target").select("qid", "faiss_id")
+def ref_semi_join(spark, d, questions=None):
+    return _found(spark, d, questions).where("is_target").select("qid", "faiss_id")
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id FROM inj")
-def anti_inject(spark, d):
-    return _found(spark, d).where("stage = 1").select("qid", "faiss_id")
+def anti_inject(spark, d, questions=None):
+    return _found(spark, d, questions).where("stage = 1").select("qid", "faiss_id")
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id, priority::INT AS priority, rk::INT AS rk FROM placed")
-def priority_rerank(spark, d):
-    return search.ranked(_found(spark, d)).select("qid", "faiss_id", "priority", "rk")
+def priority_rerank(spark, d, questions=None):
+    return search.ranked(_found(spark, d, questions)).select("qid", "faiss_id", "priority", "rk")
 
 
 @query(f"WITH {_CAND} SELECT qid, rank::INT AS rank, faiss_id::INT AS faiss_id FROM kept")
-def topk_guarantee(spark, d):
-    return search.with_guarantee(search.ranked(_found(spark, d)), _TOP).select("qid", "rank", "faiss_id")
+def topk_guarantee(spark, d, questions=None):
+    return search.with_guarantee(search.ranked(_found(spark, d, questions)), _TOP).select("qid", "rank", "faiss_id")
 
 
 @query(
     f"""WITH {_CAND} SELECT qid, rank::INT AS rank, faiss_id::INT AS faiss_id, round(distance, 6) AS distance, level, annex_no, jo, hang, hang_norm, mok, mok_norm, title, text, path, display_path_norm FROM kept"""
 )
-def hybrid_search(spark, d):
-    return search.search(_ids(spark, d), _questions(spark), _TOP).withColumn("distance", F.round("distance", 6))
+def hybrid_search(spark, d, questions=None):
+    asked = _questions(spark) if questions is None else questions
+    return search.search(_ids(spark, d), asked, _TOP, stated=questions is None).withColumn("distance", F.round("distance", 6))
 
 
 @query(
@@ -695,8 +698,36 @@ def hybrid_search(spark, d):
     SELECT * FROM (SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, distance, faiss_id)::INT AS rank, faiss_id::INT AS faiss_id, score::INT AS score, coalesce(display_path_norm, path) AS shown,
       CASE WHEN length(replace(coalesce(text, ''), chr(10), ' ')) > 160 THEN left(replace(coalesce(text, ''), chr(10), ' '), 160) || '...' ELSE replace(coalesce(text, ''), chr(10), ' ') END AS snippet FROM scored) WHERE rank <= 5"""
 )
-def rerank_v2(spark, d):
-    return search.reranked_by_parts(_ids(spark, d), _questions(spark), _TOP)
+def rerank_v2(spark, d, questions=None):
+    asked = _questions(spark) if questions is None else questions
+    return search.reranked_by_parts(_ids(spark, d), asked, _TOP, stated=questions is None)
+
+
+# ------------------------------- the same, asked by every twentieth unit of all laws
+
+_STATED = _ASKED[: _ASKED.index(", cited AS (")]
+_EVERY = "asked AS (SELECT unit_id AS qid, mst, coalesce(path, title, '') AS query, effective_date AS as_of FROM units WHERE unit_id % 20 = 0)"
+
+
+def _every_20th(spark, d):
+    """Questions of every unit whose id is divisible by 20: its law, path and date."""
+    return table(spark, d, "units").where("unit_id % 20 = 0").select(
+        F.col("unit_id").alias("qid"), "mst", F.coalesce("path", "title", F.lit("")).alias("query"), F.col("effective_date").alias("as_of")
+    )
+
+
+def _register_every20(function):
+    """Register ``NAME_every20``: the query NAME over the questions of all laws."""
+    name = f"{function.__name__}_every20"
+    QUERIES[name] = lambda spark, d: function(spark, d, _every_20th(spark, d))
+    SQL[name] = SQL[function.__name__].replace(_STATED, _EVERY)
+
+
+for _search in (
+    as_of_filter, meta_match_all, meta_match_lenient, meta_match_strict, meta_match_count, candidate_union, seed_select, ref_semi_join,
+    anti_inject, priority_rerank, topk_guarantee, hybrid_search, rerank_v2,
+):
+    _register_every20(_search)
 
 
 # ------------------------------------------------------------------ export
