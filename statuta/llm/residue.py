@@ -116,28 +116,24 @@ _MACHINE = re.compile(
     r"|^[\[{].{0,12}\"(?:error|fault|result|status|exception)\":|\"(?:code|message|trace)\":|^[a-z]*(?:error|exception)$",
     re.IGNORECASE,
 )
-# What a value must show at all to be looked at closely.
-_SIGNS = (
-    *"{}$«»\\",
-    *("@@", "&lt;", "__", "[[", "%(", "<%", "#"),
-    *("니다", "시오", "세요", "어요", "아요", "해요", "편집", "예정", "테스트", "견본", "샘플", "예시", "더미", "임시", "기본 "),
-    *("입력", "기재", "작성 중", "삽입", "가나다"),
+# What a text must show for a rule to match at all.  Each is implied by its
+# patterns, so leaving a rule out for want of its sign loses nothing.  Two Latin
+# letters stand in every alternative of ``_MACHINE`` except ``h1``.
+_LETTERS = re.compile(r"[a-z]{2}", re.IGNORECASE)
+_SLOT_SIGNS = (*"{$#«<", "%(", "__", "@@", "[[", "입력", "기재", "작성", "삽입")
+_DUMMY_SIGNS = (
+    *("견본", "샘플", "예시", "더미", "임시", "기본", "가짜", "테스트", "편집", "나중에바꿀", "실제내용으로", "추후", "작성예정"),
+    *("지우지마", "화면확인용", "배치확인", "여기에"),
 )
-_SIGNAL = (re.compile(r"[A-Za-z]{2}"), re.compile(r"<[^개신전\d\s별<]"), re.compile(r"[ㄱ-ㅣ]"))
-_AGAIN = re.compile(r"\s*(\S{1,20}?)(?:\s*\1){2}")
+_POLITE_SIGNS = ("니다", "시오", "세요", "어요", "아요", "해요")
 
 
-def _signalled(value: str) -> bool:
-    return (
-        any(sign in value for sign in _SIGNS)
-        or any(pattern.search(value) for pattern in _SIGNAL)
-        or any(_AGAIN.match(line) for line in value.splitlines())
-    )
-
+def _any(signs: tuple[str, ...], text: str) -> bool:
+    return any(sign in text for sign in signs)
 
 
 def _squeezed(text: str) -> str:
-    return re.sub(r"\s+", "", text).lower()
+    return "".join(text.split()).lower()
 
 
 def skeleton(segment: str) -> str:
@@ -169,8 +165,11 @@ def is_filler(value: str) -> bool:
         if period == len(text) and len(words) > 2 and text is bare:
             # the last repetition may be cut off
             unit = _squeezed(words[0])
-            whole = next((p for p in range(len(unit), len(text) // 2 + 1) if text.startswith(text[p:])), None)
-            period = whole or period
+            # where it repeats, its first half occurs again
+            half, at = text[: len(text) // 2], text.find(text[: len(text) // 2], max(1, len(unit)))
+            while 0 < at <= len(text) // 2 and not text.startswith(text[at:]):
+                at = text.find(half, at + 1)
+            period = at if 0 < at <= len(text) // 2 else period
         if period < len(text) and 2 * period <= len(text) and (len(text) >= 6 or not text.isalnum() or len(words) > 1):
             return True
     return False
@@ -187,7 +186,7 @@ def suspects(value: str | None) -> list[tuple[str, str, int, str | None]]:
     Certainty 2 is residue wherever it stands, 1 needs the corpus: a name known
     as a variable (kind ``slot``), or a template repeated over records.
     """
-    if value is None or not _signalled(value):
+    if value is None:
         return []
     bare = value.strip()
     if bare in ("", "-", "별표/서식"):
@@ -195,23 +194,24 @@ def suspects(value: str | None) -> list[tuple[str, str, int, str | None]]:
     found: list[tuple[str, str, int, str | None]] = []
     if is_filler(bare):
         found.append((skeleton(bare)[:80], "filler", 2, None))
-    if _MACHINE.search(_squeezed(bare)) or _MACHINE.search(bare.lower()):
+    tight = _squeezed(bare)
+    if (_LETTERS.search(tight) or "h1" in tight) and (_MACHINE.search(tight) or _MACHINE.search(bare.lower())):
         found.append((skeleton(segments(bare)[0]), "error page", 2, None))
     for segment in segments(bare):
-        if not _signalled(segment):
-            continue
-        found += _slots(segment, bare)
         tight = _squeezed(segment)
-        hangul, latin = len(_HANGUL.findall(segment)), len(_LATIN.findall(segment))
-        polite = bool(_POLITE.search(segment) or _POLITE.search(tight))
-        if _DUMMY.search(tight) and (polite or not tight.rstrip(".!").endswith("다")):
+        letters = bool(_LETTERS.search(tight))
+        if letters or _any(_SLOT_SIGNS, segment):
+            found += _slots(segment, bare)
+        latin = len(_LATIN.findall(segment)) if letters else 0
+        polite = _any(_POLITE_SIGNS, tight) and bool(_POLITE.search(segment) or _POLITE.search(tight))
+        if (letters or _any(_DUMMY_SIGNS, tight)) and _DUMMY.search(tight) and (polite or not tight.rstrip(".!").endswith("다")):
             found.append((skeleton(segment), "filler", 2, None))
         elif _TESTING.fullmatch(tight.strip(".!()")) or (len(tight) >= 12 and segment != bare and is_filler(segment)):
             found.append((skeleton(segment), "filler", 2, None))
         elif polite:
             found.append((skeleton(segment), "message", 2 if _MESSAGE_KO.search(tight) else 1, None))
         elif latin >= 4 and _MESSAGE_EN.search(tight):
-            found.append((skeleton(segment), "message", 2 if latin > hangul else 1, None))
+            found.append((skeleton(segment), "message", 2 if latin > len(_HANGUL.findall(segment)) else 1, None))
     return found
 
 

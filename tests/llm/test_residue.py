@@ -60,3 +60,52 @@ def test_clean_units_keep_columns_and_rows(spark):
 def test_empty_table_and_long_text(spark):
     assert found(spark, []) == set()
     assert found(spark, [(None, LAW * 5000), (None, LAW * 5000 + " {{본문}}")]) == {1}
+
+
+MISSED_BY_SIGNS = [
+    f"{LAW} 본문 본문 본문 본문 본문 본문", "[내용 작성]", "[사업자명을 작성]", "(여기에 담당부서 작성)", "가짜 문구", "나중에 바꿀 제목", "실제 내용으로 교체", "추후 등록할 내용",
+    "기본문구", "화면 확인용", "배치 확인", "내용 없음 내용 없음", "가나 다라 가나 다라", "라마바사아자차", "아자차카타파하", "<개정문>", "< 본문>", "<별표명>",
+    "<h1>", "l o r e m i p s u m", "t e s t t e s t", f"{LAW} undefıned", "하나 둘 셋 하나 둘 셋 하나 둘",
+]
+
+
+class Everything:
+    """A sign that every text shows."""
+
+    def search(self, text):
+        return True
+
+    def __iter__(self):
+        return iter([""])
+
+
+@pytest.mark.parametrize("value", MISSED_BY_SIGNS[:12])
+def test_residue_without_a_former_sign_is_suspected(value):
+    assert R.suspects(value)
+
+
+def test_signs_lose_nothing(monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    parts = [*MISSED_BY_SIGNS, LAW, "{{본문}}", "$a$", "%(본문)s", "@@본문@@", "«본문»", "__본문__", "[[본문]]", "{본문}", "#REF!", "nil", "&LT;본문&gt;", "\n", "h1", "404 not found", "견본", "샘플 글", "입력", "시오", "해요"]
+    values = parts + ["".join(rng.choice((rng.choice(parts), rng.choice("가나다 <>[](){}$#@_%ab1.\n"))) for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    want = [R.suspects(v) for v in values]
+    for name in ("_LETTERS", "_SLOT_SIGNS", "_DUMMY_SIGNS", "_POLITE_SIGNS"):
+        monkeypatch.setattr(R, name, Everything())
+    assert [R.suspects(v) for v in values] == want
+
+
+def test_repeats_with_a_cut_end_equal_the_plain_search():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(3000):
+        unit = " ".join("".join(rng.choice("가나") for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 3)))
+        value = (" ".join([unit] * rng.randint(1, 4)) + rng.choice(["", " 가", " 나가"])).strip()
+        text, words = "".join(value.split()), value.split()
+        first = len(words[0])
+        plain = any(text.startswith(text[p:]) for p in range(first, len(text) // 2 + 1)) and len(words) > 2 and len(text) >= 6
+        doubled = (text + text).find(text, 1)
+        if plain and doubled == len(text):
+            assert R.is_filler(value), value
