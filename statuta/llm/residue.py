@@ -1,10 +1,10 @@
 """Template residue, filler and error-page text in units that should hold a law's wording.
 
-Records are aligned with others of the same template.  A value is cut into
-lines and sentences; each is reduced to a skeleton in which variable names,
-default literals, request ids and numbers are slots.  Segments of one skeleton
-form a template, whose slots and number of records are gathered over the whole
-corpus.  A template is residue
+No records are aligned and no slots induced: fixed patterns and word lists stand
+in for that.  A value is cut into lines and sentences; each that a list suspects
+is reduced to a skeleton in which variable names, default literals, request ids
+and numbers are slots.  Suspected segments of one skeleton form a template,
+whose slots and number of records are gathered over the whole corpus.  A template is residue
 
 * if a slot keeps a variable name in a placeholder's delimiters, a default
   literal (``undefined``, ``#REF!`` ...) or nothing at all,
@@ -103,6 +103,9 @@ _MESSAGE_KO = re.compile(
     r"|다시시도|새로고침|다시접속|다시로그인|로그인화면|처음부터다시|문의하|알려주|확인하여주|확인하세요|기다려주|죄송합|불편을드려|돌아가"
     r"|브라우저|스크립트|script|쿠키를|켜야|꺼져|미지원|허용이필요|설정을확인|사용을허용|접속키|서비스안내|요청하신|찾으시는|입력하신|이게시물"
 )
+#: Ends of notes and headings, which need no verb; a whole value of a message's
+#: wording that ends so is one if its template repeats.
+_NOTE = re.compile(r"(?:[음됨함임중]|불가|실패)[.!)]*\Z")
 _MESSAGE_EN = re.compile(
     r"(?:java)?script(?:s|ing)?(?:andcookies)?(?:is|are)?(?:required|seemstobe|disabled|seemtobe)|without(?:java)?script|doesnotsupport|(?:needto|please)(?:enable|allow|turnon|activate)"
     r"|notfound|couldnotbe|cannotbe(?:found|displayed|loaded)|temporarilyunavailable|serviceunavailable|badrequest|badgateway|gatewaytime-?out|internalservererror|toomanyrequests"
@@ -210,6 +213,8 @@ def suspects(value: str | None) -> list[tuple[str, str, int, str | None]]:
             found.append((skeleton(segment), "filler", 2, None))
         elif polite:
             found.append((skeleton(segment), "message", 2 if _MESSAGE_KO.search(tight) else 1, None))
+        elif segment == bare and _NOTE.search(tight) and _MESSAGE_KO.search(tight):
+            found.append((skeleton(segment), "message", 1, None))
         elif latin >= 4 and _MESSAGE_EN.search(tight):
             found.append((skeleton(segment), "message", 2 if latin > len(_HANGUL.findall(segment)) else 1, None))
     return found

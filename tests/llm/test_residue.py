@@ -109,3 +109,8 @@ def test_repeats_with_a_cut_end_equal_the_plain_search():
         doubled = (text + text).find(text, 1)
         if plain and doubled == len(text):
             assert R.is_filler(value), value
+
+
+def test_a_repeated_page_that_is_a_note_is_a_message(spark):
+    rows = [(None, "페이지를 찾을 수 없음"), ("목적", "페이지를 찾을 수 없음"), ("점검 중의 조치", LAW), ("점검 중의 조치", LAW), (None, "시스템 점검 중")]
+    assert found(spark, rows) == {0, 1}
