@@ -13,9 +13,11 @@ place of the match.
 
 The items are a stated query set.  They are searched in blocks of at most
 ``BLOCK`` sentences, so what is broadcast at a time is bounded; documents are
-read in one narrow pass for each block, and never shuffled.  Sentences that
-stand in many documents in different surroundings are standing phrases and no
-evidence; they are told apart by counts over the whole corpus.
+read in one narrow pass for each block, and never shuffled.  A sentence that
+stands in many documents in different surroundings is a standing phrase if
+different passages share it, or if it mostly stands there without its
+neighbours of the passage.  It is no evidence, except in a document that holds
+a neighbour too.  A sentence that is a whole passage has no neighbours to miss.
 
 Defined results: null and empty texts or passages leak nothing; a sentence of
 fewer than ``LEAST`` letters and digits is no evidence; an item given twice is
@@ -42,8 +44,11 @@ from statuta.session import durable, spread
 #: long words that change places take more than a fifth of a short sentence.
 ALTERED = 0.23
 #: Sentences in more than this share of all documents, and in at least
-#: ``STANDING_LEAST`` different surroundings, are standing phrases.
+#: ``STANDING_LEAST`` different surroundings, may be standing phrases ...
 STANDING, STANDING_LEAST = 0.004, 5
+#: ... unless one passage alone has them and this share of the documents holds a
+#: neighbouring sentence of it as well.
+SUPPORTED = 0.2
 #: Walk lengths, longest first.  A sentence takes the first of which it has
 #: enough windows; with the shortest, documents have a window at each character.
 WALKS = (32, 16, 12)
@@ -275,28 +280,44 @@ def leaks(
 ) -> DataFrame:
     """doc id, item id, sentences (how many leaked), distance (of the closest one)."""
     spark = docs.sparkSession
-    owners: dict[str, list] = defaultdict(list)
+    owners: dict[tuple[str, ...], list] = defaultdict(list)
     for row in items.select(item_col, passage_col).where(F.col(passage_col).isNotNull()).toLocalIterator():
-        for sentence in dict.fromkeys(passage_sentences(row[1])):
-            owners[sentence].append(row[0])
-    sentences = sorted(owners)
+        owners[tuple(dict.fromkeys(passage_sentences(row[1])))].append(row[0])
+    passages = Counter(sentence for passage in owners for sentence in passage)
+    sentences = sorted(passages)
     # few rows, used twice; what made them is not to run twice
     found = durable(sentence_matches(docs, sentences, id_col, text_col))
+    number = {sentence: k for k, sentence in enumerate(sentences)}
+    owned = []
+    for passage, ids in owners.items():
+        for at, sentence in enumerate(passage):
+            # neighbours that other passages share are no evidence
+            near = [number[s] for s in passage[max(0, at - 1) : at] + passage[at + 1 : at + 2] if passages[s] == 1]
+            shared = passages[sentence] > 1
+            owned += [(number[sentence], item, near, shared, len(passage) == 1 and not shared) for item in ids]
+    columns = [T.StructField("sentence", T.IntegerType()), T.StructField(item_col, items.schema[item_col].dataType)]
+    columns += [T.StructField("near", T.ArrayType(T.IntegerType())), *(T.StructField(n, T.BooleanType()) for n in ("shared", "whole"))]
+    here = found.groupBy(id_col).agg(F.collect_set("sentence").alias("here"))
+    hits = (
+        found.join(spark.createDataFrame(owned, T.StructType(columns)), "sentence")
+        .join(here, id_col)
+        .withColumn("supported", F.col("whole") | F.arrays_overlap("near", "here"))
+    )
     standing = (
-        found.groupBy("sentence")
-        .agg(F.approx_count_distinct("around", 0.02).alias("places"))
+        hits.groupBy("sentence")
+        .agg(
+            F.count_distinct("around").alias("places"),
+            F.avg(F.col("supported").cast("int")).alias("share"),
+            F.max("shared").alias("shared"),
+        )
         .crossJoin(docs.agg(F.count(F.lit(1)).alias("docs")))
         .where((F.col("places") >= STANDING_LEAST) & (F.col("places") > STANDING * F.col("docs")))
-        .select("sentence")
-    )
-    pairs = [(k, item) for k, sentence in enumerate(sentences) for item in owners[sentence]]
-    item_type = items.schema[item_col].dataType
-    owned = spark.createDataFrame(
-        pairs, T.StructType([T.StructField("sentence", T.IntegerType()), T.StructField(item_col, item_type)])
+        .where(F.col("shared") | (F.col("share") < SUPPORTED))
+        .select("sentence", F.lit(True).alias("standing"))
     )
     return (
-        found.join(standing, "sentence", "left_anti")
-        .join(owned, "sentence")
+        hits.join(standing, "sentence", "left")
+        .where("standing is null or supported")
         .groupBy(id_col, item_col)
         .agg(F.count(F.lit(1)).alias("sentences"), F.round(F.min("distance"), 4).alias("distance"))
     )

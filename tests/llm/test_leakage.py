@@ -87,3 +87,19 @@ def test_short_sentences_and_several_blocks(spark, monkeypatch):
     items = [(i, f"{w} 멈추었다.") for i, w in enumerate(["격자 부표가", "염전 갈퀴차가", "흙벽돌 압착기가", "삼단 훈증실이", "배선 피복이"])]
     docs = [(i, f"{FILL} {p} {FILL}") for i, (_, p) in enumerate(items)]
     assert run(spark, docs, items) == {(i, i) for i in range(5)}
+
+
+def test_a_frequent_leak_is_no_standing_phrase(spark):
+    first, second = KO.format(n=12, x="바위나루"), "염전 갈퀴차를 몰던 교대 조장은 장부에 연필로만 적어 두었다."
+    around = lambda i, leak: f"{NOUNS[i % 6]}의 {i}번째 글로서 서로 다르다. {leak} 그 뒤의 {i * 7}번 말이 이어진다."
+    docs = [(i, around(i, f"{first} {second}")) for i in range(30)] + [(i, around(i, first)) for i in range(30, 45)]
+    docs += [(i, f"{FILL} {i}") for i in range(45, 90)]
+    assert run(spark, docs, [(1, f"{first} {second}"), (2, f"{first} {second}")]) == {(i, k) for i in range(45) for k in (1, 2)}
+    assert run(spark, docs[30:], [(1, first)]) == {(i, 1) for i in range(30, 45)}
+
+
+def test_a_sentence_of_several_passages_needs_a_neighbour(spark):
+    phrase, own = "이 규정은 알린 날부터 여섯 달 뒤에 쓰기 시작한다.", KO.format(n=12, x="바위나루")
+    other = "염전 갈퀴차를 몰던 교대 조장은 장부에 연필로만 적어 두었다."
+    docs = [(i, f"{NOUNS[i % 6]}의 {i}번째 글로서 서로 다르다. {phrase} {own if i < 20 else ''} 그 뒤의 {i * 7}번 말이 이어진다.") for i in range(60)]
+    assert run(spark, docs, [(1, f"{phrase} {own}"), (2, f"{phrase} {other}")]) == {(i, 1) for i in range(20)}
