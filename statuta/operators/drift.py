@@ -386,9 +386,11 @@ def canonical_names(renames: DataFrame) -> DataFrame:
 def unified_table(feed: DataFrame, names: DataFrame) -> DataFrame:
     """All records of all files in one schema.
 
-    Columns: the feed's ids, the fields of ``UNIFIED`` as text and ``other``, a
-    map of all further fields under their canonical names.  Arrays and objects
-    give their leaves joined by a line break.
+    Columns: the feed's ids, the fields of ``UNIFIED`` as text, ``other``, a map
+    of all further fields under their canonical names, and ``more``, a map of
+    lists: where a record has several names of one field, the column or ``other``
+    has the first filled value in the order of those names, ``more`` the rest.
+    Arrays and objects give their leaves joined by a line break.
     """
     ids = ["feed_row_id", "provider_id", "file_id", "file_date", "received_at", "line_no"]
 
@@ -408,14 +410,20 @@ def unified_table(feed: DataFrame, names: DataFrame) -> DataFrame:
     named = cells.join(names, "field", "left").select(
         "feed_row_id", F.coalesce("canonical", "field").alias("name"), "field", "value"
     )
-    best = [
-        F.min_by(F.when(F.col("name") == n, F.col("value")), F.when((F.col("name") == n) & F.col("value").isNotNull(), F.col("field"))).alias(n)
-        for n in UNIFIED
-    ]
-    other = F.map_from_entries(
-        F.array_sort(F.collect_set(F.when(~F.col("name").isin(*UNIFIED), F.struct(F.col("field"), F.col("value")))))
-    ).alias("other")
-    wide = named.groupBy("feed_row_id").agg(*best, other)
+    # values of one name in the order of their fields, nulls last
+    fields = named.groupBy("feed_row_id", "name").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("value").isNull().alias("blank"), "field", "value"))).alias("all")
+    ).select(
+        "feed_row_id",
+        "name",
+        F.col("all")[0]["value"].alias("first"),
+        F.transform(F.filter(F.slice("all", 2, F.size("all")), lambda x: ~x["blank"]), lambda x: x["value"]).alias("rest"),
+    )
+    best = [F.max(F.when(F.col("name") == n, F.col("first"))).alias(n) for n in UNIFIED]
+    pairs = lambda test, value: F.map_from_entries(F.array_sort(F.collect_list(F.when(test, F.struct("name", value)))))
+    other = pairs(~F.col("name").isin(*UNIFIED), "first").alias("other")
+    more = pairs(F.size("rest") > 0, "rest").alias("more")
+    wide = fields.groupBy("feed_row_id").agg(*best, other, more)
     return feed.select(*ids).join(wide, "feed_row_id", "left")
 
 

@@ -67,3 +67,12 @@ def test_scores_converge_and_prefer_shared_values():
     pair = {"types_a": ["string"], "types_b": ["string"], "n_old": 4, "n_new": 4}
     scores = D.flood([pair | {"old_field": "a", "new_field": "b", "n_both": 4}, pair | {"old_field": "a", "new_field": "c", "n_both": 0}])
     assert scores[0] > scores[1]
+
+
+def test_unified_table_applies_renames_of_further_fields_and_keeps_every_value(spark):
+    rows = [{"담당부서": "가", "비고": None}, {"소관부서": "나"}, {"담당부서": "다", "소관부서": "라"}, {"별표명": "마", "명칭": "바", "담당부서": None, "소관부서": "사"}]
+    names = spark.createDataFrame([("소관부서", "담당부서"), ("담당부서", "담당부서"), ("명칭", "별표명")], "field string, canonical string")
+    got = D.unified_table(feed(spark, [(1, 1, "2020-01-01", rows)]), names).orderBy("feed_row_id").collect()
+    assert [r["other"] for r in got] == [{"담당부서": "가", "비고": None}, {"담당부서": "나"}, {"담당부서": "다"}, {"담당부서": "사"}]
+    assert [r["more"] for r in got] == [{}, {}, {"담당부서": ["라"]}, {"별표명": ["마"]}]
+    assert sorted(x for x in (got[3]["별표명"], *got[3]["more"]["별표명"])) == ["마", "바"]
