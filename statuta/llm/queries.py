@@ -12,19 +12,19 @@ from statuta.session import table
 
 
 def _titled(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "units").select("unit_id", "title", "text")
+    return table(spark, d, "units").select("unit_id", "mst", "title", "text")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return residue.residue_units(_titled(spark, d)).select("unit_id")
+    return residue.residue_units(_titled(spark, d), law="mst").select("unit_id")
 
 
 def p1_templates(spark: SparkSession, d: str) -> DataFrame:
-    return residue.templates(residue.suspicious_segments(_titled(spark, d)))
+    return residue.templates(residue.judged_segments(_titled(spark, d), law="mst"))
 
 
 def p1_clean(spark: SparkSession, d: str) -> DataFrame:
-    return residue.clean_units(_titled(spark, d))
+    return residue.clean_units(_titled(spark, d), law="mst")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
