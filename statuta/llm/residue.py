@@ -292,8 +292,7 @@ def _slots(segment: str) -> Iterator[tuple[str, str, int, str | None]]:
 
 def _pairs(word: Column) -> Column:
     """Neighbouring characters of a word; the word itself if it has but one."""
-    size = F.length(word)
-    return F.when(size > 1, F.transform(F.sequence(F.lit(1), size - 1), lambda k: F.substring(word, k, F.lit(2)))).when(size == 1, F.array(word))
+    return F.when(F.length(word) > 1, F.regexp_extract_all(word, F.lit("(?=(..))"), 1)).otherwise(F.array(word))
 
 
 def _zeroed(column: Column) -> Column:
