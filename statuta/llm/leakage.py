@@ -11,13 +11,19 @@ an altered word in each window.  The items have a window at each character, the
 exactly: a bit-parallel edit-distance search of the whole sentence around the
 place of the match.
 
+Sentences too short for enough windows of a walk are searched exactly: cut into
+one piece more than they may have edits, one piece of any altered copy stands
+unaltered (pigeonhole), so no copy is lost.
+
 The items are a stated query set.  They are searched in blocks of at most
-``BLOCK`` sentences, so what is broadcast at a time is bounded; documents are
-read in one narrow pass for each block, and never shuffled.  A sentence that
-stands in many documents in different surroundings is a standing phrase if
-different passages share it, or if it mostly stands there without its
-neighbours of the passage.  It is no evidence, except in a document that holds
-a neighbour too.  A sentence that is a whole passage has no neighbours to miss.
+``BLOCK`` sentences, so what the driver holds and broadcasts at a time is
+bounded; documents are read in one narrow pass for each block, and never
+shuffled.  A sentence that unlike passages share is a standing phrase, however
+often documents use it.  One that a single passage has is a standing phrase if
+many documents use it (``STANDING``, in ``STANDING_LEAST`` surroundings at least)
+and hardly any of them its neighbours of the passage.  A standing phrase is no
+evidence, except in a document that holds a neighbour too.  ``standing`` lists
+them with the reason.
 
 Defined results: null and empty texts or passages leak nothing; a sentence of
 fewer than ``LEAST`` letters and digits is no evidence; an item given twice is
@@ -34,6 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,15 +50,14 @@ from statuta.session import durable, spread
 #: Greatest edit distance of a leaked sentence, as a share of its length.  Two
 #: long words that change places take more than a fifth of a short sentence.
 ALTERED = 0.23
-#: Sentences in more than this share of all documents, and in at least
-#: ``STANDING_LEAST`` different surroundings, may be standing phrases ...
-STANDING, STANDING_LEAST = 0.004, 5
-#: ... unless one passage alone has them and this share of the documents holds a
-#: neighbouring sentence of it as well.
+#: A sentence of one passage is used by many documents from this share of them
+#: on, in at least ``STANDING_LEAST`` different surroundings ...
+STANDING, STANDING_LEAST = 0.004, 20
+#: ... unless this share of the documents holds a neighbouring sentence as well.
 SUPPORTED = 0.2
 #: Walk lengths, longest first.  A sentence takes the first of which it has
-#: enough windows; with the shortest, documents have a window at each character.
-WALKS = (32, 16, 12)
+#: enough windows; the rest is cut into pieces and searched exactly.
+WALKS = (32, 16)
 LEAST = 8
 #: Walks, samples of each, positions in a sample, and the distance between a
 #: document's windows.
@@ -151,7 +157,7 @@ class Index:
             keys, reach = self.walks.hashes(codes, begins[which] + offset, length)
             inside = reach < begins[which] + sizes[which]
             # the first windows of a sentence must all be inside, or a document's may miss them
-            enough = np.ones(len(left), bool) if length == WALKS[-1] else np.bincount(which[inside], minlength=len(left)) >= 2 * STRIDE
+            enough = np.bincount(which[inside], minlength=len(left)) >= 2 * STRIDE
             inside &= enough[which]
             if inside.any():
                 rows = []
@@ -160,6 +166,16 @@ class Index:
                     rows.append((row[order], left[which[inside]][order], offset[inside][order]))
                 self.tables[length] = rows
             left = left[~enough]
+        self.pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        pieces = defaultdict(list)
+        for k in left:
+            for at, end in pieces_of(len(sentences[k])):
+                pieces[end - at].append((sentences[k][at:end], k, at))
+        for size, rows in pieces.items():
+            codes, begins = _codes([r[0] for r in rows])
+            keys = _grams(codes, size)[begins]
+            order = np.argsort(keys, kind="stable")
+            self.pieces[size] = keys[order], np.array([r[1] for r in rows])[order], np.array([r[2] for r in rows])[order]
 
     def candidates(self, texts: list[str]) -> Iterator[tuple[int, int, int]]:
         """(text, sentence, place where the sentence would begin), each once."""
@@ -167,28 +183,52 @@ class Index:
         sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
         found = []
         for length, tables in self.tables.items():
-            stride = 1 if length == WALKS[-1] else STRIDE
-            counts = (sizes + stride - 1) // stride
+            counts = (sizes + STRIDE - 1) // STRIDE
             which = np.repeat(np.arange(len(texts)), counts)
-            offset = (np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
+            offset = (np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)) * STRIDE
             keys, _ = self.walks.hashes(codes, begins[which] + offset, length)
             for row, (known, ids, shift) in zip(keys, tables):
-                low = np.searchsorted(known, row, "left")
-                hit = np.nonzero((low < len(known)) & (known[np.minimum(low, len(known) - 1)] == row))[0]
-                if not len(hit):
-                    continue
-                high = np.searchsorted(known, row[hit], "right")
-                times = high - low[hit]
-                source = np.repeat(hit, times)
-                target = np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low[hit], times)
-                # places within a few characters of each other are one place
-                place = (offset[source] - shift[target]) // 8
-                found.append(np.stack([which[source], ids[target], place], axis=1))
+                found += _meet(known, ids, shift, row, which, offset)
+        if self.pieces:
+            which = np.repeat(np.arange(len(texts)), sizes)
+            offset = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            for size, (known, ids, shift) in self.pieces.items():
+                found += _meet(known, ids, shift, _grams(codes, size)[begins[which] + offset], which, offset)
         if found:
             for text, sentence, place in np.unique(np.concatenate(found), axis=0):
                 yield int(text), int(sentence), int(place) * 8 + 4
 
 
+def pieces_of(size: int) -> list[tuple[int, int]]:
+    """Spans that cut a sentence of ``size`` characters into one piece more than it may have edits."""
+    n = int(ALTERED * size) + 1
+    return [(size * k // n, size * (k + 1) // n) for k in range(n)]
+
+
+def _grams(codes: np.ndarray, size: int) -> np.ndarray:
+    """A key of the ``size`` characters from each position on."""
+    out = np.zeros(len(codes), np.uint64)
+    for k in range(size):
+        ahead = np.zeros(len(codes), np.uint64)
+        ahead[: len(codes) - k] = codes[k:]
+        mixed = (out ^ (ahead + np.uint64(k + 1))) * np.uint64(0x9E3779B97F4A7C15)
+        out = mixed ^ (mixed >> np.uint64(31))
+    return out
+
+
+def _meet(known, ids, shift, keys, which, offset) -> list[np.ndarray]:
+    """(text, sentence, place) wherever a key of the texts is a known one."""
+    low = np.searchsorted(known, keys, "left")
+    hit = np.nonzero((low < len(known)) & (known[np.minimum(low, len(known) - 1)] == keys))[0]
+    if not len(hit):
+        return []
+    times = np.searchsorted(known, keys[hit], "right") - low[hit]
+    source = np.repeat(hit, times)
+    target = np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low[hit], times)
+    # places within a few characters of each other are one place
+    return [np.stack([which[source], ids[target], (offset[source] - shift[target]) // 8], axis=1)]
+
+
 def edit_search(pattern: str, text: str) -> tuple[int, int]:
     """Least edit distance of ``pattern`` to any part of ``text``, and where that
     part ends; Myers' bit-parallel algorithm with the pattern in one integer."""
@@ -237,20 +277,51 @@ def matches(texts: list[str], index: Index) -> list[tuple[int, int, float, str]]
     return [(t, k, share, around) for (t, k), (share, around) in best.items()]
 
 
-_MATCH = "sentence int, distance double, around string"
+_MATCH = "sentence long, distance double, around string"
+_PASSAGE = "passage long, sentence long, body string, size int, near array<long>"
+
+
+def _key(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
 
 
-def sentence_matches(docs: DataFrame, sentences: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, sentence (its number), distance, around: where each sentence stands."""
+def item_sentences(items: DataFrame, item_col: str = "item_id", passage_col: str = "passage") -> DataFrame:
+    """item id, passage (a hash), sentence (a hash), body, size (sentences of the
+    passage), near (its neighbours): each sentence of each passage once."""
+    schema = T.StructType([items.schema[item_col], *T._parse_datatype_string(_PASSAGE).fields])
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            take, rows = [], []
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                bodies = list(dict.fromkeys(passage_sentences(text)))
+                keys = [_key(b) for b in bodies]
+                whole = _key("\n".join(bodies))
+                take += [k] * len(keys)
+                rows += [(whole, key, bodies[at], len(keys), keys[max(0, at - 1) : at] + keys[at + 1 : at + 2]) for at, key in enumerate(keys)]
+            columns = list(zip(*rows)) if rows else [()] * 5
+            types = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(take, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, types))], names=names
+            )
+
+    return items.select(item_col, passage_col).mapInArrow(run, schema)
+
+
+def sentence_matches(docs: DataFrame, sentences: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, sentence, distance, around: where each sentence (rows of sentence, body) stands."""
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(_MATCH).fields])
     names = schema.fieldNames()
     rows = spread(docs.select(id_col, text_col).where(F.col(text_col).isNotNull()), id_col)
-    result = None
-    for at in range(0, max(1, len(sentences)), BLOCK):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(sentences[at : at + BLOCK]))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+    def found_of(block: list) -> DataFrame:
+        """The matches of one block of sentences, written before the next one is read."""
+        keys = np.array([r["sentence"] for r in block], np.int64)
+        shared = docs.sparkSession.sparkContext.broadcast((Index([r["body"] for r in block]), keys))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index, keys = shared.value
             for whole in batches:
                 for first in range(0, whole.num_rows, 256):
                     batch = whole.slice(first, 256)
@@ -258,18 +329,63 @@ def sentence_matches(docs: DataFrame, sentences: list[str], id_col: str = "doc_i
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array([m[0] for m in found], pa.int64())),
-                            pa.array([m[1] + at for m in found], pa.int32()),
+                            pa.array([keys[m[1]] for m in found], pa.int64()),
                             pa.array([m[2] for m in found], pa.float64()),
                             pa.array([m[3] for m in found], pa.string()),
                         ],
                         names=names,
                     )
 
-        part = rows.mapInArrow(run, schema)
+        result = durable(rows.mapInArrow(run, schema))
+        shared.unpersist()
+        return result
+
+    result, block = None, []
+    for row in sentences.select("sentence", "body").distinct().orderBy("sentence").toLocalIterator():
+        block.append(row)
+        if len(block) == BLOCK:
+            part, block = found_of(block), []
+            result = part if result is None else result.unionByName(part)
+    if block or result is None:
+        part = found_of(block)
         result = part if result is None else result.unionByName(part)
     return result
 
 
+def _hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, passage_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc id, item id, sentence, distance, supported, shared; the standing phrases)."""
+    parts = durable(item_sentences(items, item_col, passage_col))
+    found = sentence_matches(docs, parts, id_col, text_col)
+    shared = parts.groupBy("sentence").agg((F.count_distinct("passage") > 1).alias("shared"))
+    # neighbours that other passages share are no evidence
+    near = (
+        parts.select("passage", "sentence", F.explode("near").alias("at")).distinct()
+        .join(shared.where("not shared").select(F.col("sentence").alias("at")), "at")
+        .groupBy("passage", "sentence").agg(F.collect_set("at").alias("beside"))
+    )
+    owned = (
+        parts.join(shared, "sentence").join(near, ["passage", "sentence"], "left")
+        .select("sentence", item_col, "shared", F.coalesce("beside", F.array().cast("array<long>")).alias("beside"),
+                (~F.col("shared") & (F.col("size") == 1)).alias("whole"))
+    )
+    here = found.groupBy(id_col).agg(F.collect_set("sentence").alias("here"))
+    hits = (
+        found.join(owned, "sentence").join(here, id_col)
+        .withColumn("supported", F.col("whole") | F.arrays_overlap("beside", "here"))
+    )
+    phrases = (
+        hits.groupBy("sentence")
+        .agg(
+            F.count_distinct("around").alias("places"), F.count_distinct(id_col).alias("documents"),
+            F.avg(F.col("supported").cast("int")).alias("share"), F.max("shared").alias("shared"),
+        )
+        .join(F.broadcast(docs.agg(F.count(F.lit(1)).alias("docs"))), F.lit(True))
+    )
+    many = (F.col("places") >= STANDING_LEAST) & (F.col("documents") > STANDING * F.col("docs")) & (F.col("share") < SUPPORTED)
+    reason = F.when(F.col("shared"), "shared by unlike passages").when(many, "used by many documents without its neighbours")
+    return hits, phrases.withColumn("reason", reason).where("reason is not null").select("sentence", "documents", "reason")
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -279,45 +395,36 @@ def leaks(
     passage_col: str = "passage",
 ) -> DataFrame:
     """doc id, item id, sentences (how many leaked), distance (of the closest one)."""
-    spark = docs.sparkSession
-    owners: dict[tuple[str, ...], list] = defaultdict(list)
-    for row in items.select(item_col, passage_col).where(F.col(passage_col).isNotNull()).toLocalIterator():
-        owners[tuple(dict.fromkeys(passage_sentences(row[1])))].append(row[0])
-    passages = Counter(sentence for passage in owners for sentence in passage)
-    sentences = sorted(passages)
-    # few rows, used twice; what made them is not to run twice
-    found = durable(sentence_matches(docs, sentences, id_col, text_col))
-    number = {sentence: k for k, sentence in enumerate(sentences)}
-    owned = []
-    for passage, ids in owners.items():
-        for at, sentence in enumerate(passage):
-            # neighbours that other passages share are no evidence
-            near = [number[s] for s in passage[max(0, at - 1) : at] + passage[at + 1 : at + 2] if passages[s] == 1]
-            shared = passages[sentence] > 1
-            owned += [(number[sentence], item, near, shared, len(passage) == 1 and not shared) for item in ids]
-    columns = [T.StructField("sentence", T.IntegerType()), T.StructField(item_col, items.schema[item_col].dataType)]
-    columns += [T.StructField("near", T.ArrayType(T.IntegerType())), *(T.StructField(n, T.BooleanType()) for n in ("shared", "whole"))]
-    here = found.groupBy(id_col).agg(F.collect_set("sentence").alias("here"))
-    hits = (
-        found.join(spark.createDataFrame(owned, T.StructType(columns)), "sentence")
-        .join(here, id_col)
-        .withColumn("supported", F.col("whole") | F.arrays_overlap("near", "here"))
-    )
-    standing = (
-        hits.groupBy("sentence")
-        .agg(
-            F.count_distinct("around").alias("places"),
-            F.avg(F.col("supported").cast("int")).alias("share"),
-            F.max("shared").alias("shared"),
-        )
-        .crossJoin(docs.agg(F.count(F.lit(1)).alias("docs")))
-        .where((F.col("places") >= STANDING_LEAST) & (F.col("places") > STANDING * F.col("docs")))
-        .where(F.col("shared") | (F.col("share") < SUPPORTED))
-        .select("sentence", F.lit(True).alias("standing"))
-    )
+    hits, phrases = _hits(docs, items, id_col, text_col, item_col, passage_col)
     return (
-        hits.join(standing, "sentence", "left")
-        .where("standing is null or supported")
+        hits.join(phrases, "sentence", "left")
+        .where("reason is null or supported")
         .groupBy(id_col, item_col)
         .agg(F.count(F.lit(1)).alias("sentences"), F.round(F.min("distance"), 4).alias("distance"))
     )
+
+
+def leak_report(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    passage_col: str = "passage",
+) -> DataFrame:
+    """item id, sentence, documents (where it counts), passed_over (documents where it
+    doesn't), reason (why not): every sentence of every item that stands in any document."""
+    hits, phrases = _hits(docs, items, id_col, text_col, item_col, passage_col)
+    counted = F.col("reason").isNull() | F.col("supported")
+    bodies = item_sentences(items, item_col, passage_col).select("sentence", "body").distinct()
+    return (
+        hits.join(phrases.drop("documents"), "sentence", "left")
+        .groupBy(item_col, "sentence")
+        .agg(
+            F.count_distinct(F.when(counted, F.col(id_col))).alias("documents"),
+            F.count_distinct(F.when(~counted, F.col(id_col))).alias("passed_over"),
+            F.max("reason").alias("reason"),
+        )
+        .join(bodies, "sentence")
+        .select(item_col, F.col("body").alias("sentence"), "documents", "passed_over", "reason")
+    )

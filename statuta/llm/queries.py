@@ -68,17 +68,16 @@ def p6_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    return leakage.leaks(docs, table(spark, d, "eval_items").select("item_id", "passage"))
+def _leak_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items").select("item_id", "passage")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d).select("doc_id", "item_id")
+    return leakage.leaks(*_leak_inputs(spark, d)).select("doc_id", "item_id")
 
 
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d)
+    return leakage.leak_report(*_leak_inputs(spark, d))
 
 
 def _language_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

@@ -103,3 +103,33 @@ def test_a_sentence_of_several_passages_needs_a_neighbour(spark):
     other = "염전 갈퀴차를 몰던 교대 조장은 장부에 연필로만 적어 두었다."
     docs = [(i, f"{NOUNS[i % 6]}의 {i}번째 글로서 서로 다르다. {phrase} {own if i < 20 else ''} 그 뒤의 {i * 7}번 말이 이어진다.") for i in range(60)]
     assert run(spark, docs, [(1, f"{phrase} {own}"), (2, f"{phrase} {other}")]) == {(i, 1) for i in range(20)}
+
+
+def test_short_sentences_are_found_with_a_changed_letter():
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0xAC00, 0xD7A0)]
+    word = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    for size in (8, 9, 10, 12, 15):
+        sentences = [word(size) for _ in range(100)]
+        index = L.Index(sentences)
+        same = [word(9) + s + word(11) for s in sentences]
+        other = [word(9) + s[: (at := rng.randrange(size))] + "가" + s[at + 1 :] + word(11) for s in sentences]
+        for texts in (same, other):
+            assert {(t, k) for t, k, *_ in L.matches(texts, index)} == {(k, k) for k in range(100)}
+
+
+def test_a_single_sentence_is_a_leak_until_many_documents_use_it(spark):
+    leak = KO.format(n=12, x="바위나루")
+    rng = random.Random(8)
+    fill = lambda: " ".join("".join(chr(rng.randrange(0xAC00, 0xD7A0)) for _ in range(4)) for _ in range(6)) + "."
+    for n in (5, 19):
+        docs = [(i, f"{fill()} {leak if i < n else ''} {fill()}") for i in range(1000)]
+        assert run(spark, docs, [(1, f"{leak} {FILL}")]) == {(i, 1) for i in range(n)}
+
+
+def test_the_report_names_standing_phrases_with_a_reason(spark):
+    phrase, own = "이 규정은 알린 날부터 여섯 달 뒤에 쓰기 시작한다.", KO.format(n=12, x="바위나루")
+    d = spark.createDataFrame([(1, f"앞말이다. {phrase} 뒷말이다."), (2, f"앞말이다. {own} 뒷말이다.")], "doc_id long, text string")
+    e = spark.createDataFrame([(1, f"{phrase} {own}"), (2, f"{phrase} {FILL}")], "item_id long, passage string")
+    got = {(r["item_id"], r["documents"], r["passed_over"], r["reason"]) for r in L.leak_report(d, e).collect()}
+    assert got == {(1, 1, 0, None), (1, 0, 1, "shared by unlike passages"), (2, 0, 1, "shared by unlike passages")}
