@@ -5,25 +5,36 @@ labelled samples.  The n-grams of all models lie together in one sorted array
 of 64-bit hashes per order, with a column of discounted probabilities and of
 back-off weights for each language, so a batch of texts is scored for all
 languages by a few vectorised searches.  A sentence gets the language of the
-lowest length-normalised cross-entropy; a sentence whose entropy lies above
-what held-out samples show is rejected.  Confidence is the softmax of the
+lowest length-normalised cross-entropy.  Confidence is the softmax of the
 entropy gaps at a temperature calibrated on held-out samples.
 
+Rejection is calibrated on what must be refused: for a language of an alphabet,
+the samples of the other languages of that alphabet and its own held-out samples
+with their letters shuffled.  The least entropy that these reach is the limit.  A
+sentence below it whose entropy is still above that of held-out samples is kept
+only if at least ``KNOWN`` of its words stand in the language's samples, as no
+foreign language's do.  For other scripts the limit is the entropy of held-out
+samples of which every second letter is foreign.
+
 Below the character models lies a model of scripts (kana, Han, Hangul, Latin
 with and without marks ...), which spreads its mass over the script's
 characters: unseen characters of a known script cost the languages that write
 in it alike, and the absence of a script counts too.
 
-Training uses at most ``max_samples`` labelled rows (a documented bound, far
-above the table's fixed size); every document and every sentence is scored.
+Training uses at most ``max_samples`` labelled rows of each language (a documented
+bound, far above the table's fixed size; which ones, a hash decides); every
+document and every sentence is scored.
 
 Defined results: null, blank and wordless texts have no segments and no
-language; texts of any length are scored sentence by sentence.
+language; a document with words but without an accepted full sentence has the
+language of its longest segment (null if that is rejected) and ``complete`` false;
+texts of any length are scored sentence by sentence.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -32,19 +43,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statuta.session import spread
 
-#: Longest n-gram, and how many labelled rows may be used for training.
-ORDER, MAX_SAMPLES = 4, 20_000
+#: Longest n-gram, and how many labelled rows of a language are used for training.
+ORDER, MAX_SAMPLES = 4, 4_000
 #: Part of each language's samples that calibrates confidence and rejection.
 HELD_OUT = 5
-#: A sentence is accepted up to the entropy of held-out ones of which every
-#: second letter is of a foreign script, plus so many standard deviations.
+#: Standard deviations above the mean of held-out samples that count as usual.
 SLACK = 4.0
+#: Least share of known words in a sentence of unusual entropy.
+KNOWN = 0.2
 #: Pseudo-count of a script that a language's samples don't use.
 UNSEEN = 0.01
 #: Sentences of fewer letters (a Han, kana or Hangul character counts as three) are no full sentences.
@@ -162,6 +174,8 @@ class Models:
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         self.temperature, self.limits = 1.0, np.full(len(self.languages), np.inf)
+        self.usual = np.full(len(self.languages), np.inf)
+        self.words = [frozenset(w for t in samples[name] for w in plain(t).split()) for name in self.languages]
         counts = [self._counts([plain(t) for t in samples[name]]) for name in self.languages]
         chars = sorted({g[-1] for c in counts for g in c[1]})
         self._scripts(counts)
@@ -282,7 +296,19 @@ class Models:
         lengths = np.fromiter((len(t) for t in texts), float, len(texts))
         gaps = (entropy - lowest[:, None]) * np.sqrt(np.maximum(lengths, 1.0))[:, None]
         confidence = 1 / np.exp(-gaps / self.temperature).sum(axis=1)
-        return best, confidence, lowest <= self.limits[best]
+        accepted = lowest <= self.limits[best]
+        for k in np.nonzero(accepted & (lowest > self.usual[best]))[0]:
+            words = texts[k].split()
+            accepted[k] = sum(w in self.words[best[k]] for w in words) >= KNOWN * len(words)
+        return best, confidence, accepted
+
+
+def _alphabet(texts: list[str]) -> str | None:
+    """The alphabet that most letters of the texts belong to; None for other scripts."""
+    counts = Counter(_script(c) for t in texts for c in plain(t) if c != " ")
+    counts["latin"] += counts.pop("marked", 0)
+    most = max(counts, key=counts.get, default=None)
+    return most if most in ("latin", "cyrillic") else None
 
 
 def _foreign(text: str) -> str:
@@ -293,8 +319,9 @@ def _foreign(text: str) -> str:
 def train(samples: dict[str, list[str]]) -> Models:
     """Models of all samples, calibrated on folds held out in turn."""
     names = sorted(samples)
-    entropy = {name: [] for name in names}
+    entropy, own, shuffled = ({name: [] for name in names} for _ in range(3))
     gaps, right = [], []
+    rng = random.Random(HELD_OUT)
     for fold in range(HELD_OUT):
         kept = {k: [t for i, t in enumerate(v) if i % HELD_OUT != fold] or v for k, v in samples.items()}
         out = [(k, t) for k, v in samples.items() for i, t in enumerate(v) if i % HELD_OUT == fold]
@@ -304,8 +331,10 @@ def train(samples: dict[str, list[str]]) -> Models:
         texts = [plain(t) for _, t in out]
         scores = models.entropies(texts)
         foreign = models.entropies([_foreign(t) for t in texts])
-        for (name, _), row in zip(out, foreign):
-            entropy[name].append(row[names.index(name)])
+        mixed = models.entropies(["".join(rng.sample(t, len(t))) for t in texts])
+        for (name, _), one, two, three in zip(out, foreign, scores, mixed):
+            for table, row in ((entropy, one), (own, two), (shuffled, three)):
+                table[name].append(row[names.index(name)])
         for (name, _), text, row in zip(out, texts, scores):
             gaps.append((row - row.min()) * math.sqrt(max(1, len(text))))
             right.append(names.index(name))
@@ -321,51 +350,69 @@ def train(samples: dict[str, list[str]]) -> Models:
             for t in grid
         ]
         models.temperature = float(max(grid[int(np.argmin(losses))], 0.5))
+    alphabets = {name: _alphabet(samples[name]) for name in names}
     for k, name in enumerate(names):
-        values = entropy[name] or [5.0]
-        models.limits[k] = np.mean(values) + SLACK * max(np.std(values), 0.05)
+        if alphabets[name] is None or not own[name]:
+            values = entropy[name] or [5.0]
+            models.limits[k] = np.mean(values) + SLACK * max(np.std(values), 0.05)
+            continue
+        other = [plain(t) for n in names if n != name and alphabets[n] == alphabets[name] for t in samples[n]]
+        models.usual[k] = np.mean(own[name]) + SLACK * max(np.std(own[name]), 0.05)
+        refused = [*(models.entropies(other)[:, k] if other else ()), *shuffled[name]]
+        models.limits[k] = max(min(refused), models.usual[k])
     return models
 
 
 def samples_of(labelled: DataFrame, max_samples: int = MAX_SAMPLES) -> dict[str, list[str]]:
-    """Sample texts by language; at most ``max_samples`` rows reach the driver."""
-    rows = labelled.where("lang is not null and length(trim(text)) > 0").orderBy("lang", "sample_id")
+    """Sample texts by language; at most ``max_samples`` rows of each reach the driver."""
+    rows = labelled.where("lang is not null and length(trim(text)) > 0")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "sample_id"))
     out: dict[str, list[str]] = defaultdict(list)
-    for row in rows.select("lang", "text").limit(max_samples).collect():
-        out[row["lang"]].append(row["text"])
-    return dict(out)
+    for row in rows.withColumn("place", place).where(F.col("place") <= max_samples).select("lang", "text", "sample_id").collect():
+        out[row["lang"]].append((row["sample_id"], row["text"]))
+    return {lang: [t for _, t in sorted(found)] for lang, found in sorted(out.items())}
 
 
 # Codes and names of the languages, as labels write them.
 NAMES = {
-    "ko": "ko kor korean 한국어 한글 국어 조선어 coréen koreanisch",
-    "en": "en eng english 영어 englisch anglais tiếng anh 英語 英语",
-    "ja": "ja jp jpn japanese 日本語 일본어 일어 japanisch japonais 日语",
-    "zh": "zh cn chi zho cmn yue chinese mandarin 中文 汉语 漢語 중국어 chinesisch chinois 中国語",
-    "vi": "vi vn vie vietnamese 베트남어 월남어 vietnamesisch việt",
-    "de": "de deu ger german 독일어 deutsch allemand 德语 ドイツ語",
-    "fr": "fr fra fre french 프랑스어 français",
-    "es": "es spa spanish 스페인어 español",
-    "ru": "ru rus russian 러시아어 русский",
-    "pt": "pt por portuguese 포르투갈어 português",
-    "it": "it ita italian 이탈리아어 italiano",
-    "id": "id ind indonesian 인도네시아어",
-    "th": "th tha thai 태국어",
-    "ar": "ar ara arabic 아랍어",
+    "ko": "ko, kor, korean, 한국어, 한글, 국어, 조선어, coréen, koreanisch, tiếng hàn, 韩语, 韓語, 韩国语, 韓国語, 朝鮮語",
+    "en": "en, eng, english, 영어, englisch, anglais, tiếng anh, 英語, 英语, 英文, inglés",
+    "ja": "ja, jp, jpn, japanese, 日本語, 日本语, 일본어, 일어, japanisch, japonais, 日语, 日語, 日文, tiếng nhật",
+    "zh": "zh, cn, chi, zho, cmn, yue, chinese, mandarin, 中文, 汉语, 漢語, 简体中文, 繁體中文, 繁体中文, 简体, 繁體, 중국어, chinesisch, chinois, 中国語, 中國語, tiếng trung",
+    "vi": "vi, vn, vie, vietnamese, 베트남어, 월남어, vietnamesisch, tiếng việt, việt, 越南语, 越南語, ベトナム語",
+    "de": "de, deu, ger, german, 독일어, deutsch, allemand, 德语, 德語, ドイツ語, tiếng đức",
+    "fr": "fr, fra, fre, french, 프랑스어, français, französisch",
+    "es": "es, spa, spanish, 스페인어, español, spanisch",
+    "ru": "ru, rus, russian, 러시아어, русский",
+    "pt": "pt, por, portuguese, 포르투갈어, português",
+    "it": "it, ita, italian, 이탈리아어, italiano",
+    "id": "id, ind, indonesian, 인도네시아어, bahasa indonesia",
+    "th": "th, tha, thai, 태국어",
+    "ar": "ar, ara, arabic, 아랍어",
 }
-_BY_NAME = {word: code for code, words in NAMES.items() for word in words.split()}
+_BY_NAME = {name: code for code, names in NAMES.items() for name in names.split(", ")}
 
 
 def label_languages(label: Column) -> Column:
     """The languages that a label names, in codes; empty if it names none.
 
+    The label is read as one name, else as a list of names, else word by word.
     Codes with a script or a country (``zh-Hant``, ``ko_KR``) name the language
     of their first part.
     """
     table = F.create_map(*(F.lit(x) for pair in sorted(_BY_NAME.items()) for x in pair))
-    words = F.split(F.regexp_replace(F.lower(F.trim(label)), r"[-_](?:[a-z]{4}|[a-z]{2}|\d{3})\b", ""), r"[^\p{L}\p{M}]+")
-    codes = F.array_distinct(F.filter(F.transform(words, lambda w: F.try_element_at(table, w)), lambda c: c.isNotNull()))
-    return F.coalesce(codes, F.array().cast("array<string>"))
+    plain_label = F.regexp_replace(F.lower(F.trim(label)), r"[-_](?:[a-z]{4}|[a-z]{2}|\d{3})\b", "")
+
+    def codes(parts: Column) -> Column:
+        return F.array_distinct(F.filter(F.transform(parts, lambda w: F.try_element_at(table, F.trim(w))), lambda c: c.isNotNull()))
+
+    # words only where a part is no name as a whole
+    def read(part: Column) -> Column:
+        whole = F.try_element_at(table, F.trim(part))
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(codes(F.split(part, r"[^\p{L}\p{M}]+")))
+
+    parts = F.split(plain_label, r"[,;/+&|()\[\]]+")
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(parts, read))), F.array().cast("array<string>"))
 
 
 _SEGMENT = "start_pos int, end_pos int, lang string, confidence double, complete boolean"
@@ -418,12 +465,28 @@ def detect_segments(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id"
     return spread(docs.select(id_col, text_col), id_col).mapInArrow(run, schema)
 
 
-def document_languages(segments: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, lang, sentences, confidence (mean): languages with a full sentence in each document."""
-    full = segments.where(F.col("complete") & F.col("lang").isNotNull())
-    return full.groupBy(id_col, "lang").agg(
-        F.count(F.lit(1)).alias("sentences"), F.round(F.avg("confidence"), 6).alias("confidence")
+def document_languages(segments: DataFrame, id_col: str = "doc_id", every: bool = False) -> DataFrame:
+    """id, lang, sentences, confidence (mean), complete: languages with a full
+    sentence in each document.
+
+    With ``every``, documents without one follow, in the language of their longest
+    segment, ``complete`` being false.
+    """
+    good = F.col("complete") & F.col("lang").isNotNull()
+    full = segments.where(good).groupBy(id_col, "lang").agg(
+        F.count(F.lit(1)).alias("sentences"), F.round(F.avg("confidence"), 6).alias("confidence"), F.lit(True).alias("complete")
     )
+    if not every:
+        return full
+    size = F.col("end_pos") - F.col("start_pos")
+    longest = F.max(F.struct(F.col("lang").isNotNull().alias("known"), size.alias("size"), (-F.col("start_pos")).alias("at"), "lang", "confidence"))
+    rest = segments.groupBy(id_col).agg(F.max(good).alias("any"), longest.alias("x")).where("not any")
+    return full.unionByName(
+        rest.select(
+            id_col, "x.lang", F.lit(0).cast("long").alias("sentences"),
+            F.round(F.when(F.col("x.known"), F.col("x.confidence") / 2).otherwise(0.0), 6).alias("confidence"), F.lit(False).alias("complete"),
+        )
+    )
 
 
 def relabelled(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -40,7 +40,7 @@ def _annex_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return survivors.best_representatives(*_annex_inputs(spark, d)).select("group_id", "field", "unit_id")
+    return survivors.surviving_values(*_annex_inputs(spark, d)).select("group_id", "field", "unit_id")
 
 
 def p5_records(spark: SparkSession, d: str) -> DataFrame:
@@ -55,6 +55,10 @@ def p5_sources(spark: SparkSession, d: str) -> DataFrame:
     return survivors.source_quality(*_annex_inputs(spark, d))
 
 
+def p5_disagreement(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.model_against_rule(*_annex_inputs(spark, d))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, d, "documents").select("doc_id", "text"))
 
@@ -93,7 +97,7 @@ def p8_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_documents(spark: SparkSession, d: str) -> DataFrame:
-    return langid.document_languages(langid.detect_segments(*_language_inputs(spark, d)))
+    return langid.document_languages(langid.detect_segments(*_language_inputs(spark, d)), every=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_records": p5_records,
     "p5_values": p5_values,
     "p5_sources": p5_sources,
+    "p5_disagreement": p5_disagreement,
     "p6_ids": p6_ids,
     "p6_roundtrip": p6_roundtrip,
     "p7_found": p7_found,

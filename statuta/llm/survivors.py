@@ -266,6 +266,28 @@ def _with_posterior(facts: DataFrame) -> DataFrame:
     return facts.join(patterns.drop("n"), ["field", "pos", "neg"])
 
 
+def surviving_values(units: DataFrame, trust: DataFrame) -> DataFrame:
+    """group_id, field, unit_id, value: the surviving value of every field of every
+    annex with two or more units, by the rule given with the data."""
+    return _survivors(annex_claims(units, trust)).select("group_id", "field", "unit_id", "value")
+
+
+def model_against_rule(units: DataFrame, trust: DataFrame) -> DataFrame:
+    """field, contested (surviving values with a rival), disagree: how often the
+    model holds another value of the group to be more probable than the survivor."""
+    claims = annex_claims(units, trust)
+    facts = _with_posterior(_facts(claims)).select(*_KEY, "field", "fact", "posterior")
+    won = _survivors(claims)
+    same = [F.col(f"w.{k}").eqNullSafe(F.col(f"f.{k}")) for k in (*_KEY, "field")]
+    pairs = won.alias("w").join(facts.alias("f"), same).select("w.group_id", "w.field", (F.col("w.fact") == F.col("f.fact")).alias("mine"), "f.posterior")
+    each = pairs.groupBy("group_id", "field").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("mine"), F.col("posterior"))).alias("own"), F.max("posterior").alias("top")
+    )
+    return each.where("n > 1").groupBy("field").agg(
+        F.count(F.lit(1)).alias("contested"), F.sum((F.col("top") > F.col("own") + 1e-9).cast("long")).alias("disagree")
+    )
+
+
 def best_representatives(units: DataFrame, trust: DataFrame) -> DataFrame:
     """group_id, field, unit_id, value, posterior: the surviving value of every
     field of every annex with two or more units, and how probable it is."""

@@ -120,3 +120,52 @@ def test_segments_lie_in_their_text(spark, samples):
     rows = G.detect_segments(docs, spark.read.parquet(f"{DATA}/lang_samples.parquet")).collect()
     assert {r["lang"] for r in rows if r["complete"]} == {"de", "vi"}
     assert all(0 <= r["start_pos"] < r["end_pos"] <= len(text) for r in rows)
+
+
+FOREIGN = [
+    "Le titulaire doit présenter la demande au ministre dans un délai de trente jours.", "Les frais sont à la charge du demandeur.",
+    "El titular deberá presentar la solicitud al ministerio en un plazo de treinta días.", "Los gastos corren a cargo del solicitante.",
+    "Il titolare deve presentare la domanda al ministero entro trenta giorni.", "Le spese sono a carico del richiedente.",
+    "De houder moet de aanvraag binnen dertig dagen bij het ministerie indienen.", "De kosten zijn voor rekening van de aanvrager.",
+    "Pemegang izin wajib menyampaikan permohonan kepada menteri dalam waktu tiga puluh hari.", "Biaya ditanggung oleh pemohon.",
+    "Posiadacz zezwolenia składa wniosek do ministra w terminie trzydziestu dni.", "Koszty ponosi wnioskodawca.", "qzx vbn kjh wrt plm ghj dfg xcv.",
+]
+
+
+def test_languages_without_samples_are_rejected_and_held_out_ones_kept():
+    import duckdb
+
+    from statuta.llm import langid as G
+    from tests.support import DATA
+
+    rows = duckdb.sql(f"select lang, text from '{DATA}/lang_samples.parquet' order by sample_id").fetchall()
+    all_of = {lang: [t for x, t in rows if x == lang] for lang in {x for x, _ in rows}}
+    models = G.train({k: v[10:] for k, v in all_of.items()})
+    assert not models.classify([G.plain(t) for t in FOREIGN])[2].any()
+    held = [(k, t) for k, v in all_of.items() for t in v[:10]]
+    best, _, accepted = models.classify([G.plain(t) for _, t in held])
+    assert sum(ok and models.languages[b] == k for (k, _), b, ok in zip(held, best, accepted)) > 0.95 * len(held)
+
+
+def test_labels_are_read_as_whole_names(spark):
+    from pyspark.sql import functions as F
+
+    from statuta.llm import langid as G
+
+    want = {
+        "Tiếng Việt": ["vi"], "简体中文": ["zh"], "繁體中文": ["zh"], "日本语": ["ja"], "tiếng anh": ["en"], "ko/en": ["ko", "en"], "en, de": ["en", "de"],
+        "zh-Hant": ["zh"], "ko_KR": ["ko"], "Korean (South)": ["ko"], "unknown": [], "??": [], "": [], None: [], "lang: de": ["de"],
+    }
+    frame = spark.createDataFrame([(k,) for k in want], "lang string")
+    got = {r[0]: r[1] for r in frame.select("lang", G.label_languages(F.col("lang"))).collect()}
+    assert got == want
+
+
+def test_every_document_with_words_has_a_row(spark):
+    from statuta.llm import langid as G
+    from tests.support import DATA
+
+    samples = spark.read.parquet(f"{DATA}/lang_samples.parquet")
+    docs = spark.createDataFrame([(1, "shall be measured every hour"), (2, "qzx vbn kjh wrt"), (3, None), (4, " 12 "), (5, "별표 제3호의 서식")], "doc_id long, text string")
+    rows = G.document_languages(G.detect_segments(docs, samples), every=True).collect()
+    assert {(r["doc_id"], r["lang"], r["complete"]) for r in rows} == {(1, "en", False), (2, None, False), (5, "ko", False)}
