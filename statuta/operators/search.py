@@ -16,6 +16,8 @@ from statuta.functions import vectors as V
 from statuta.operators import units as U
 from statuta.session import durable
 
+#: Questions (some hundred bytes each) that are broadcast at most.
+STATED = 200_000
 #: Neighbours fetched for each one returned, and the distance of injected units.
 OVERFETCH, FAR = 20, 1e9
 
@@ -81,35 +83,41 @@ def embed_input() -> Column:
     return X.strip(F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit(""))))
 
 
-_INDEXED = (
-    "mst", "faiss_id", "level", "annex_no", "jo", "hang", "hang_norm", "mok", "mok_norm", "jo_norm", "title", "text", "path",
-    "display_path_norm", "annex_refs", "effective_date",
-)
+# What questions look at; texts and titles are fetched for the answers only.
+_INDEXED = ("mst", "faiss_id", "level", "annex_no", "jo", "jo_norm", "hang_norm", "mok_norm", "annex_refs", "effective_date")
+_SHOWN = ("path", "display_path_norm")
 
 
-def indexed(units: DataFrame) -> DataFrame:
-    """The search index: normalised units with ``faiss_id`` and their vector ``v``.
+def indexed(units: DataFrame, *more: str) -> DataFrame:
+    """The search index: keys and numbers of normalised units, and their vector ``v``.
 
-    It is written once; questions only read it.
+    It is written once, without texts; questions only read it.
     """
-    return durable(units.select(*_INDEXED, V.hash_embedding_batch(embed_input()).alias("v")))
+    return durable(units.select(*_INDEXED, *more, V.hash_embedding_batch(embed_input()).alias("v")))
 
 
-def considered(index: DataFrame, queries: DataFrame, stated: bool = True) -> DataFrame:
+def asked_units(units: DataFrame, queries: DataFrame) -> DataFrame:
+    """The units of the laws that are asked about; no question sees others."""
+    return units.join(queries.select("mst").distinct(), "mst", "left_semi")
+
+
+def considered(index: DataFrame, queries: DataFrame) -> DataFrame:
     """Each unit with each question of its law: distance, validity, citation matches.
 
-    A stated (small) set of questions is broadcast; one that grows with the
-    units is joined by law as the optimizer chooses.
+    Up to ``STATED`` questions are broadcast, so units stay where they are read
+    and a law that holds many of them is no hot key; more are joined by law.
     """
-    asked = queries.select("qid", "mst", "as_of", V.hash_embedding_batch(F.col("query")).alias("q"), X.citation(X.strip(F.col("query"))).alias("c"))
+    asked = durable(
+        queries.select("qid", "mst", "as_of", V.hash_embedding_batch(F.col("query")).alias("q"), X.citation(X.strip(F.col("query"))).alias("c"))
+    )
     cite = [F.col("c.jo"), F.col("c.hang"), F.col("c.mok")]
-    return index.join(F.broadcast(asked) if stated else asked, "mst").select(
+    return index.join(F.broadcast(asked) if asked.count() <= STATED else asked, "mst").select(
         "*",
         V.squared_distance(F.col("v"), F.col("q")).alias("dist"),
         U.active_as_of(F.col("as_of")).alias("active"),
         U.match_count(*cite).alias("matches"),
         U.matches_all(*cite).alias("exact"),
-    ).drop("v", "q")
+    ).drop("v", "q", "effective_date", "as_of")
 
 
 def promoted(strict: bool = False, require_jo: bool = False) -> Column:
@@ -212,9 +220,7 @@ def with_guarantee(answers: DataFrame, top_k: int) -> DataFrame:
 HIT = ("faiss_id", "distance", "level", "annex_no", "jo", "hang", "hang_norm", "mok", "mok_norm", "title", "text", "path", "display_path_norm")
 
 
-def search(
-    units: DataFrame, queries: DataFrame, top_k: int = 10, strict: bool = False, require_jo: bool = False, stated: bool = True
-) -> DataFrame:
+def search(units: DataFrame, queries: DataFrame, top_k: int = 10, strict: bool = False, require_jo: bool = False) -> DataFrame:
     """qid, rank and the columns of ``HIT``: answers to all questions.
 
     ``units`` are normalised and carry ``faiss_id``; ``queries`` (qid, mst,
@@ -222,17 +228,19 @@ def search(
     """
     if top_k < 1:
         raise ValueError("top_k must be at least 1")
-    found = candidates(considered(indexed(units), queries, stated), top_k, strict, require_jo)
-    return with_guarantee(ranked(found, strict), top_k).select("qid", "rank", *HIT)
+    found = candidates(considered(indexed(units), queries), top_k, strict, require_jo)
+    best = with_guarantee(ranked(found, strict), top_k).select("qid", "rank", "mst", "faiss_id", "distance")
+    shown = units.select("mst", *(c for c in HIT if c != "distance"))
+    return best.join(shown, ["mst", "faiss_id"]).select("qid", "rank", *HIT)
 
 
-def reranked_by_parts(units: DataFrame, queries: DataFrame, top_k: int = 10, stated: bool = True) -> DataFrame:
+def reranked_by_parts(units: DataFrame, queries: DataFrame, top_k: int = 10) -> DataFrame:
     """The other weighting: 2 for the article, 1 each for paragraph and item.
 
     Up to 200 leniently matching units (in id order) join the neighbours.
     """
     cite = [F.col("c.jo"), F.col("c.hang"), F.col("c.mok")]
-    base = considered(indexed(units), queries, stated).withColumn("lenient", U.matches_leniently(*cite))
+    base = considered(indexed(units, *_SHOWN), queries).withColumn("lenient", U.matches_leniently(*cite))
     order = Window.partitionBy("qid").orderBy("dist", "faiss_id")
     near = base.withColumn("n", F.row_number().over(order)).where(F.col("n") <= OVERFETCH * top_k).withColumn("distance", F.col("dist"))
     asked = X.filled(F.col("c.jo")).isNotNull() | F.col("c.hang").isNotNull() | F.col("c.mok").isNotNull()
@@ -257,6 +265,7 @@ def reranked_by_parts(units: DataFrame, queries: DataFrame, top_k: int = 10, sta
     )
     both = near.unionByName(hits.select(*near.columns)).withColumn("score", score)
     place = Window.partitionBy("qid").orderBy(F.desc("score"), "distance", "faiss_id")
-    return both.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= top_k).select(
-        "qid", "rank", "faiss_id", "score", F.coalesce("display_path_norm", "path").alias("shown"), X.snippet(F.col("text")).alias("snippet")
-    )
+    best = both.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= top_k)
+    best = best.select("qid", "rank", "mst", "faiss_id", "score", F.coalesce("display_path_norm", "path").alias("shown"))
+    texts = units.select("mst", "faiss_id", X.snippet(F.col("text")).alias("snippet"))
+    return best.join(texts, ["mst", "faiss_id"]).select("qid", "rank", "faiss_id", "score", "shown", "snippet")

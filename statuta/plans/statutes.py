@@ -134,8 +134,10 @@ def _norm(spark: SparkSession, d: str) -> DataFrame:
     return U.normalised(spread(_units(spark, d), "unit_id"))
 
 
-def _ids(spark: SparkSession, d: str) -> DataFrame:
-    return U.with_dense_ids(U.deduplicated(_norm(spark, d)))
+def _ids(spark: SparkSession, d: str, asked: DataFrame | None = None) -> DataFrame:
+    """Units with dense ids; only those of the laws asked about, if questions are given."""
+    units = _units(spark, d) if asked is None else search.asked_units(_units(spark, d), asked)
+    return U.with_dense_ids(U.deduplicated(U.normalised(spread(units, "unit_id"))))
 
 
 # ---------------------------------------------------------- vectors
@@ -575,7 +577,8 @@ _BASE = f"""{IDS}, {_ASKED}, base AS (SELECT i.*, c.qid, c.query, c.as_of, c.c_j
 def _asked(spark, d, questions=None):
     """Units with the questions of their law: the stated ones, or those given, which may be many."""
     asked = (_questions(spark) if questions is None else questions).withColumn("c", X.citation(X.strip(F.col("query"))))
-    return _ids(spark, d).drop("query").join(F.broadcast(asked) if questions is None else asked, "mst")
+    keep = ("unit_id", "mst", "jo", "jo_norm", "hang_norm", "mok_norm", "level", "path", "display_path_norm", "effective_date")
+    return _ids(spark, d, asked).select(*keep).join(F.broadcast(asked) if asked.count() <= search.STATED else asked, "mst")
 
 
 def _cite():
@@ -645,7 +648,7 @@ _TOP = 5
 
 def _found(spark, d, questions=None):
     asked = _questions(spark) if questions is None else questions
-    return search.candidates(search.considered(search.indexed(_ids(spark, d)), asked, stated=questions is None), _TOP)
+    return search.candidates(search.considered(search.indexed(_ids(spark, d, asked)), asked), _TOP)
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id, stage FROM cand")
@@ -683,7 +686,7 @@ def topk_guarantee(spark, d, questions=None):
 )
 def hybrid_search(spark, d, questions=None):
     asked = _questions(spark) if questions is None else questions
-    return search.search(_ids(spark, d), asked, _TOP, stated=questions is None).withColumn("distance", F.round("distance", 6))
+    return search.search(_ids(spark, d, asked), asked, _TOP).withColumn("distance", F.round("distance", 6))
 
 
 @query(
@@ -700,7 +703,7 @@ def hybrid_search(spark, d, questions=None):
 )
 def rerank_v2(spark, d, questions=None):
     asked = _questions(spark) if questions is None else questions
-    return search.reranked_by_parts(_ids(spark, d), asked, _TOP, stated=questions is None)
+    return search.reranked_by_parts(_ids(spark, d, asked), asked, _TOP)
 
 
 # ------------------------------- the same, asked by every twentieth unit of all laws
