@@ -5,8 +5,9 @@ leaves get a leaf state, lists the set of their members' states, objects the
 state that their kind and the states of their slots lead to.  The state of a
 record is its *variant*.  All records share one supertype table (document,
 path, parent path, kind, position, variant and the common attributes); each
-kind, and each variant of it, is routed to a typed subtype table that keeps
-the path as key and the parent path as link.
+kind has a typed table, and each variant is routed to a subtype table of its kind
+(bare text, leaf, branch, form); all keep the path as key and the parent path as
+link, which leads to the root table for the records straight below the law.
 
 Defined results: payloads that are null, empty, cut off or hold no law give no
 rows.  Nulls, blank strings, empty objects and empty lists are no records and
@@ -21,7 +22,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -263,34 +264,112 @@ def _batch(source: pa.RecordBatch, take: list[int], rows: list[tuple], names: li
     return pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(columns, kinds))], names=names)
 
 
-def subtype_table(nodes: DataFrame, kind: str, id_col: str = "raw_id", variant: str | None = None) -> DataFrame:
-    """The typed table of one kind, or of one of its variants.
+# The keys of a law's own facts, in the law or in its 기본정보.
+LAW_FACTS = ("법령명_한글", "시행일자", "공포일자", "제개정구분")
+_LAW = "node_path string, variant string, law_name string, effective string, promulgated string, revision string, attributes string"
+
+
+def law_row(payload: str | None) -> tuple | None:
+    """The root record of a payload: variant, its facts, and all further attributes as JSON."""
+    law = law_of(payload)
+    if law is None:
+        return None
+    basic = law.get("기본정보") if isinstance(law.get("기본정보"), dict) else {}
+    facts = [_first(law, (k,)) or _first(basic, (k,)) for k in LAW_FACTS]
+    slots = SLOTS[ROOT]
+    states = [f"{k}:<{slots[k]}>" if k in slots else f"{k}:{state}" for k, v in law.items() if (state := state_of(v)) is not None]
+    rest = {k: v for k, v in {**basic, **law}.items() if k not in slots and k not in LAW_FACTS and k != "기본정보" and v is not None}
+    return (ROOT, "{" + ",".join(sorted(states)) + "}", *facts, json.dumps(rest, ensure_ascii=False) if rest else None)
+
+
+def law_table(raw: DataFrame, id_col: str = "raw_id", payload_col: str = "payload") -> DataFrame:
+    """The root records, to which the parent paths of articles, addenda and annexes lead."""
+    fields = T._parse_datatype_string(_LAW).fields
+    schema = T.StructType([raw.schema[id_col], *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, *row) for k, payload in enumerate(batch.column(1).to_pylist()) if (row := law_row(payload)) is not None]
+            columns = list(zip(*rows)) if rows else [()] * (len(fields) + 1)
+            ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.string()) for c in columns[1:])], names=schema.fieldNames())
+
+    rows = spread(raw.select(id_col, payload_col), id_col).mapInArrow(run, schema)
+    return rows.withColumns({c: F.try_to_date(c, "yyyyMMdd") for c in ("effective", "promulgated")})
+
+
+#: The subtypes that the automaton's states lead to, by kind.
+SUBTYPES = {
+    "조": ("article", "article_branch", "article_text"),
+    "항": ("paragraph", "paragraph_branch", "paragraph_text"),
+    "호": ("item", "item_branch", "item_text"),
+    "목": ("subitem", "subitem_text"),
+    "부칙": ("addendum", "addendum_branch", "addendum_text"),
+    "별표": ("annex", "annex_branch", "form", "form_branch", "annex_text"),
+    "링크": ("link", "link_text"),
+}
+
+
+def subtype(kind: Column | str = "kind", variant: Column | str = "variant") -> Column:
+    """The subtype that a record's variant (its state) is routed to.
+
+    Bare text is a subtype of its own; objects part by whether they own records
+    (``_branch``) and, for annexes, whether they are named as forms.
+    """
+    state = F.col(variant) if isinstance(variant, str) else variant
+    kind = F.col(kind) if isinstance(kind, str) else kind
+    base = F.when((kind == "별표") & state.rlike(r"[{,]서식명:"), F.lit("form"))
+    for name, subtypes in SUBTYPES.items():
+        base = base.when(kind == name, F.lit(subtypes[0]))
+    bare = ~F.startswith(state, F.lit("{"))
+    tail = F.when(bare, "_text").when(state.rlike(":<"), "_branch").otherwise("")
+    return F.concat(base, tail)
+
+
+def _digits(column: str) -> Column:
+    """The number that a numbering (``제3조의2``, ``①``, ``3.``) begins with."""
+    text = F.col(column)
+    circled = F.ascii(F.regexp_extract(text, "([①-⑳])", 1)) - F.lit(ord("①") - 1)
+    return F.coalesce(F.regexp_extract(text, r"(\d+)", 1).try_cast("int"), F.when(text.rlike("[①-⑳]"), circled).cast("int"))
+
+
+def subtype_table(nodes: DataFrame, kind: str, id_col: str = "raw_id", route: str | None = None) -> DataFrame:
+    """The typed table of one kind, or of one of its subtypes (``route``).
 
     Keys are (``id_col``, node_path); (``id_col``, parent_path) links to the
-    parent's table.
+    parent's table.  Columns that a subtype's variants never fill are left out of
+    its table; what no column holds stands in ``attributes``.
     """
     if kind not in KINDS:
         raise ValueError(f"unknown kind {kind!r}")
-    rows = nodes.where(F.col("kind") == kind)
-    if variant is not None:
-        rows = rows.where(F.col("variant") == variant)
-    common = [id_col, "node_path", "parent_path", "position", "variant"]
+    if route is not None and route not in SUBTYPES[kind]:
+        raise ValueError(f"unknown subtype {route!r}")
+    rows = nodes.where(F.col("kind") == kind).withColumn("subtype", subtype())
+    common = [id_col, "node_path", "parent_path", "position", "variant", "subtype"]
+    lines = F.split("content", "\n").alias("lines")
+    number = F.col("number")
     own = {
-        "조": [F.col("number").alias("article_no"), "title", "content", F.get_json_object("attributes", "$.조문여부").alias("article_kind")],
-        "항": [F.col("number").alias("paragraph_no"), "content"],
-        "호": [F.col("number").alias("item_no"), "content"],
-        "목": [F.col("number").alias("subitem_no"), "content"],
-        "부칙": [F.try_to_date("number", "yyyyMMdd").alias("promulgated_on"), "title", "content"],
-        "별표": [F.col("number").alias("annex_no"), "title", "content"],
+        "조": [number.alias("article_no"), _digits("number").alias("article_num"), "title", "content", lines,
+               F.get_json_object("attributes", "$.조문여부").alias("article_kind")],
+        "항": [number.alias("paragraph_no"), _digits("number").alias("paragraph_num"), "content", lines],
+        "호": [number.alias("item_no"), _digits("number").alias("item_num"), "content", lines],
+        "목": [number.alias("subitem_no"), "content", lines],
+        "부칙": [F.try_to_date("number", "yyyyMMdd").alias("promulgated_on"), "title", "content", lines],
+        "별표": [number.alias("annex_no"), _digits("number").alias("annex_num"), "title", "content", lines],
         "링크": [
             F.col("content").alias("url"),
             F.get_json_object("attributes", "$.형식").alias("format"),
             F.get_json_object("attributes", "$.쪽수").try_cast("int").alias("pages"),
         ],
-    }[kind]
-    return rows.select(*common, *own)
+    }[kind]
+    if route is None:
+        return rows.select(*common, *own, "attributes")
+    rows = rows.where(F.col("subtype") == route)
+    if route.endswith("_text"):
+        return rows.select(*common, F.col("content").alias("url" if kind == "링크" else "content"))
+    return rows.select(*common, *own, "attributes")
 
 
 def variant_counts(nodes: DataFrame) -> DataFrame:
-    """How many records each variant of each kind has."""
-    return nodes.groupBy("kind", "variant").agg(F.count(F.lit(1)).alias("records"))
+    """How many records each variant of each kind has, and its subtype."""
+    return nodes.groupBy("kind", "variant").agg(F.count(F.lit(1)).alias("records")).withColumn("subtype", subtype())

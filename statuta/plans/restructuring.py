@@ -18,12 +18,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return _nodes(spark, d).select("raw_id", "node_path", "parent_path")
 
 
-def p2_annexes(spark: SparkSession, d: str) -> DataFrame:
-    return nested.subtype_table(_nodes(spark, d), "별표")
+def p2_laws(spark: SparkSession, d: str) -> DataFrame:
+    return nested.law_table(table(spark, d, "raw_laws").select("raw_id", "payload"))
 
 
-def p2_links(spark: SparkSession, d: str) -> DataFrame:
-    return nested.subtype_table(_nodes(spark, d), "링크")
+def _kind(kind: str, route: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: nested.subtype_table(_nodes(spark, d), kind, route=route)
 
 
 def p2_variants(spark: SparkSession, d: str) -> DataFrame:
@@ -42,9 +42,17 @@ def p3_annexes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
-    "p2_annexes": p2_annexes,
-    "p2_links": p2_links,
+    "p2_laws": p2_laws,
+    "p2_articles": _kind("조"),
+    "p2_paragraphs": _kind("항"),
+    "p2_items": _kind("호"),
+    "p2_subitems": _kind("목"),
+    "p2_addenda": _kind("부칙"),
+    "p2_annexes": _kind("별표"),
+    "p2_links": _kind("링크"),
     "p2_variants": p2_variants,
+    # the tables of the subtypes
+    **{f"p2_{route}s": _kind(kind, route) for kind, routes in nested.SUBTYPES.items() for route in routes if "_" in route or route == "form"},
     "p3_found": p3_found,
     "p3_annexes": p3_annexes,
 }

@@ -69,3 +69,39 @@ def test_empty_table_and_very_long_text(spark):
     assert N.flatten_documents(spark.createDataFrame([], NODES)).count() == 0
     law = json.dumps({"법령": {"조문": [{"조문내용": "가" * 300_000}]}})
     assert N.flatten_documents(spark.createDataFrame([(1, law)], NODES)).count() == 1
+
+
+def test_kind_and_subtype_tables_hold_every_record_once_and_parents_resolve(spark):
+    from statuta.plans.restructuring import QUERIES
+    from tests.support import DATA
+
+    raw = spark.read.parquet(f"{DATA}/raw_laws.parquet")
+    nodes = N.flatten_documents(raw).cache()
+    total = 0
+    laws = N.law_table(raw).select("raw_id", "node_path")
+    tables = {kind: N.subtype_table(nodes, kind) for kind in N.KINDS}
+    parents = laws
+    for frame in tables.values():
+        parents = parents.unionByName(frame.select("raw_id", "node_path"))
+    for kind, frame in tables.items():
+        count = frame.count()
+        total += count
+        assert sum(N.subtype_table(nodes, kind, route=r).count() for r in N.SUBTYPES[kind]) == count
+    assert total == nodes.count() == QUERIES["p2_found"](spark, DATA).count()
+    keys = parents.withColumnRenamed("node_path", "parent_path")
+    assert nodes.join(keys, ["raw_id", "parent_path"], "left_anti").count() == 0
+
+
+def test_the_root_keeps_the_laws_facts(spark):
+    law = {"법령": {"기본정보": {"법령명_한글": "갑법", "시행일자": "20200101", "연락부서": {"전화": 1}}, "공포일자": "x", "조문": []}}
+    rows = N.law_table(spark.createDataFrame([(1, json.dumps(law)), (2, None), (3, "{")], NODES)).collect()
+    assert [(r["raw_id"], r["law_name"], str(r["effective"]), r["promulgated"], r["attributes"]) for r in rows] == [(1, "갑법", "2020-01-01", None, '{"연락부서": {"전화": 1}}')]
+
+
+def test_numbers_are_typed(spark):
+    law = {"법령": {"조문": [{"조문번호": "제3조의2", "항": [{"항번호": "②", "호": ["가"]}]}]}}
+    nodes = N.flatten_documents(spark.createDataFrame([(1, json.dumps(law))], NODES))
+    assert N.subtype_table(nodes, "조").first()["article_num"] == 3
+    row = N.subtype_table(nodes, "항").first()
+    assert (row["paragraph_num"], row["subtype"]) == (2, "paragraph_branch")
+    assert N.subtype_table(nodes, "호", route="item_text").first()["content"] == "가"
