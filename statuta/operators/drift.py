@@ -5,7 +5,7 @@ hold) and compared with the provider's previous file.  Fields present on one
 side only are matched by similarity flooding: field pairs start from the
 overlap of their values, their names and their types; scores are propagated
 along the edges both schemas share (file to field, field to type, field to
-nested leaf) until they converge; consistent one-to-one correspondences are
+nested slot, field to values) until they converge; consistent one-to-one correspondences are
 selected and count as renamed if the new field holds what the old one held.
 All reports and the unified table follow from these correspondences.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,20 @@ WEIGHTS = (0.7, 0.2, 0.1)
 _ZEROS = re.compile(r"0+(?=\d+$)")
 
 
+def nested_slots(value: object) -> set[str]:
+    """Paths (keys, and ``[]`` for members) of all slots inside an array or object."""
+    found: set[str] = set()
+    stack = [(value, "")]
+    while stack:
+        item, path = stack.pop()
+        inner = ((f"{path}.{k}", v) for k, v in item.items()) if isinstance(item, dict) else ((f"{path}[]", v) for v in item)
+        for at, below in inner:
+            found.add(at)
+            if isinstance(below, (dict, list)):
+                stack.append((below, at))
+    return found
+
+
 def json_type(value: object) -> str | None:
     """JSON type of a value; None for null."""
     if value is None:
@@ -85,6 +100,7 @@ _CELLS = T.StructType(
         T.StructField("field", T.StringType()),
         T.StructField("types", T.ArrayType(T.StringType())),
         T.StructField("hashes", T.ArrayType(T.LongType())),
+        T.StructField("inner", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -96,20 +112,23 @@ def _cells(feed: DataFrame, values: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[tuple, tuple[set, set]] = {}
+            seen: dict[tuple, tuple[set, set, set]] = {}
             for provider, file, date, payload in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                seen.setdefault((provider, file, date, None), (set(), set()))
+                seen.setdefault((provider, file, date, None), (set(), set(), set()))
                 for field, value in (_record(payload) or {}).items():
-                    types, hashes = seen.setdefault((provider, file, date, field), (set(), set()))
+                    types, hashes, inner = seen.setdefault((provider, file, date, field), (set(), set(), set()))
                     if (kind := json_type(value)) is not None:
                         types.add(kind)
+                    if kind in ("array", "object"):
+                        inner.update(nested_slots(value))
                     if values:
                         hashes.update(xxhash.xxh64_intdigest(leaf) - (1 << 63) for leaf in leaves(value))
             keys = list(zip(*seen)) or [[], [], [], []]
             columns = [
                 *(pa.array(k, t) for k, t in zip(keys, (pa.int64(), pa.int64(), pa.string(), pa.string()))),
-                pa.array([sorted(t) for t, _ in seen.values()], pa.list_(pa.string())),
-                pa.array([sorted(h) for _, h in seen.values()], pa.list_(pa.int64())),
+                pa.array([sorted(t) for t, _, _ in seen.values()], pa.list_(pa.string())),
+                pa.array([sorted(h) for _, h, _ in seen.values()], pa.list_(pa.int64())),
+                pa.array([sorted(i) for _, _, i in seen.values()], pa.list_(pa.string())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -120,15 +139,13 @@ def _cells(feed: DataFrame, values: bool) -> DataFrame:
 
 
 def profiles(feed: DataFrame) -> DataFrame:
-    """provider_id, file_id, file_date, field, types (sorted): the fields of each file.
+    """provider_id, file_id, file_date, field, types, inner (both sorted): the fields of each file.
 
     The row with a null field stands for the file itself.
     """
-    one = _cells(feed, values=False).select(
-        "provider_id", "file_id", "file_date", "field", F.explode_outer("types").alias("type")
-    )
-    return one.groupBy("provider_id", "file_id", "field").agg(
-        F.min("file_date").alias("file_date"), F.array_sort(F.collect_set("type")).alias("types")
+    merged = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
+    return _cells(feed, values=False).groupBy("provider_id", "file_id", "field").agg(
+        F.min("file_date").alias("file_date"), merged("types"), merged("inner")
     )
 
 
@@ -140,17 +157,21 @@ def predecessors(profile: DataFrame) -> DataFrame:
 
 
 def compared(profile: DataFrame) -> DataFrame:
-    """file_id, prev_id, field, old_types, new_types: each field of a file or of
-    the one before it; the types are null where the field is absent."""
+    """file_id, prev_id, field, old_types, new_types, old_inner, new_inner: each field
+    of a file or of the one before it; those of a side are null where it is absent."""
     pairs, fields = predecessors(profile), profile.where("field is not null")
-    new = pairs.join(fields.select("file_id", "field", F.col("types").alias("t")), "file_id")
-    old = pairs.join(fields.select(F.col("file_id").alias("prev_id"), "field", F.col("types").alias("t")), "prev_id")
-    sides = new.select("file_id", "prev_id", "field", F.lit(None).cast("array<string>").alias("o"), F.col("t").alias("n")).unionByName(
-        old.select("file_id", "prev_id", "field", F.col("t").alias("o"), F.lit(None).cast("array<string>").alias("n"))
-    )
-    return sides.groupBy("file_id", "prev_id", "field").agg(
-        F.max("o").alias("old_types"), F.max("n").alias("new_types")
+    shape = F.struct("types", "inner").alias("t")
+    new = pairs.join(fields.select("file_id", "field", shape), "file_id")
+    old = pairs.join(fields.select(F.col("file_id").alias("prev_id"), "field", shape), "prev_id")
+    none = F.lit(None).cast("struct<types:array<string>,inner:array<string>>")
+    sides = new.select("file_id", "prev_id", "field", none.alias("o"), F.col("t").alias("n")).unionByName(
+        old.select("file_id", "prev_id", "field", F.col("t").alias("o"), none.alias("n"))
     )
+    both = sides.groupBy("file_id", "prev_id", "field").agg(F.max("o").alias("o"), F.max("n").alias("n"))
+    return both.select(
+        "file_id", "prev_id", "field", F.col("o.types").alias("old_types"), F.col("n.types").alias("new_types"),
+        F.col("o.inner").alias("old_inner"), F.col("n.inner").alias("new_inner"),
+    )
 
 
 def field_overlaps(feed: DataFrame, fields: DataFrame) -> DataFrame:
@@ -161,8 +182,8 @@ def field_overlaps(feed: DataFrame, fields: DataFrame) -> DataFrame:
     """
     gone = fields.where("new_types is null")
     came = fields.where("old_types is null")
-    ends = gone.select("file_id", F.col("field").alias("old_field"), F.col("old_types").alias("types_a")).join(
-        came.select("file_id", F.col("field").alias("new_field"), F.col("new_types").alias("types_b")), "file_id"
+    ends = gone.select("file_id", F.col("field").alias("old_field"), F.col("old_types").alias("types_a"), F.col("old_inner").alias("inner_a")).join(
+        came.select("file_id", F.col("field").alias("new_field"), F.col("new_types").alias("types_b"), F.col("new_inner").alias("inner_b")), "file_id"
     )
     open_files = ends.select("file_id").distinct()
     wanted = (
@@ -213,37 +234,44 @@ def name_similarity(a: str, b: str) -> float:
 def flood(pairs: list[dict], rounds: int = 50, settled: float = 1e-4) -> np.ndarray:
     """Converged similarity-flooding scores of the field pairs of two schemas.
 
-    ``pairs``: old_field, new_field, types_a, types_b, n_old, n_new, n_both.
-    Nodes of the pairwise connectivity graph are the pair of files, the field
-    pairs, the pairs of types and the pairs of value sets; an edge label's
-    weight is shared equally among the edges that leave a node under it.
+    ``pairs``: old_field, new_field, types_a, types_b, inner_a, inner_b, n_old,
+    n_new, n_both.  Nodes of the pairwise connectivity graph are the pair of files,
+    the field pairs, the pairs of types, of nested slots, and of value sets; an edge
+    label's weight is shared equally among the edges that leave a node under it.
+    Edges are kept as lists, so memory follows their number.
     """
     n = len(pairs)
     held = np.array([_held(p) for p in pairs])
     names = np.array([name_similarity(p["old_field"], p["new_field"]) for p in pairs])
     types = np.array([float(bool(set(p["types_a"]) & set(p["types_b"]))) for p in pairs])
-    linked = [[(s, t) for s in p["types_a"] for t in p["types_b"]] for p in pairs]
-    at = {pair: n + 1 + k for k, pair in enumerate(sorted({x for row in linked for x in row}))}
-    size = n + 1 + len(at) + n
     wv, wn, wt = WEIGHTS
-    start = np.zeros(size)
-    start[:n] = wv * held + wn * names + wt * types
-    start[n] = 1.0
-    for (s, t), k in at.items():
-        start[k] = float(s == t)
-    start[size - n :] = held
-    edges = np.zeros((size, size))
-    field, values = np.arange(n), np.arange(size - n, size)
-    edges[field, n], edges[n, field] = 1.0 / n, 1.0
-    edges[field, values] = edges[values, field] = 1.0
-    users = {k: sum(k in {at[x] for x in row} for row in linked) for k in at.values()}
-    for k, row in enumerate(linked):
-        for x in row:
-            edges[at[x], k] += 1.0 / len(row)
-            edges[k, at[x]] += 1.0 / users[at[x]]
+    start = [*(wv * held + wn * names + wt * types), 1.0, *held]
+    files, values = n, n + 1
+    into, out, weight = [], [], []
+
+    def edges(a: int, b: int, back: float, forth: float) -> None:
+        """``a`` hears from ``b`` with weight ``back``, ``b`` from ``a`` with ``forth``."""
+        into.extend((a, b))
+        out.extend((b, a))
+        weight.extend((back, forth))
+
+    for k in range(n):
+        edges(k, files, 1.0 / n, 1.0)
+        edges(k, values + k, 1.0, 1.0)
+    for side in ("types", "inner"):
+        linked = [[(s, t) for s in p.get(side + "_a") or () for t in p.get(side + "_b") or ()] for p in pairs]
+        users = Counter(x for row in linked for x in row)
+        at = {x: len(start) + k for k, x in enumerate(sorted(users))}
+        start += [float(s == t) for s, t in sorted(users)]
+        for k, row in enumerate(linked):
+            for x in row:
+                edges(k, at[x], 1.0 / users[x], 1.0 / len(row))
+    start = np.array(start)
+    into, out, weight = np.array(into), np.array(out), np.array(weight)
     score = start / start.max()
     for _ in range(rounds):
-        grown = start + score + edges @ (start + score)
+        heard = start + score
+        grown = heard + np.bincount(into, weight * heard[out], len(start))
         grown /= grown.max()
         change = np.abs(grown - score).max()
         score = grown
@@ -277,7 +305,7 @@ def correspondences(overlaps: DataFrame) -> DataFrame:
 
     A file's pairs travel as one row; their number follows its fields.
     """
-    columns = ["old_field", "new_field", "types_a", "types_b", "n_old", "n_new", "n_both"]
+    columns = ["old_field", "new_field", "types_a", "types_b", "inner_a", "inner_b", "n_old", "n_new", "n_both"]
     by_file = overlaps.groupBy("file_id").agg(F.collect_list(F.struct(*columns)).alias("pairs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,8 +357,10 @@ def matched(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     Both hold a row for each field of a file and are read several times, so
     each is written once; the records themselves never are.
     """
-    fields = durable(compared(durable(profiles(feed))))
-    return fields, durable(correspondences(field_overlaps(feed, fields)))
+    profile = durable(profiles(feed))
+    fields = durable(compared(profile))
+    owners = profile.where("field is null").select("file_id", "provider_id")
+    return fields, durable(correspondences(field_overlaps(feed, fields)).join(owners, "file_id"))
 
 
 def drift_report(feed: DataFrame) -> DataFrame:
@@ -353,13 +383,15 @@ UNIFIED = (
 
 
 def canonical_names(renames: DataFrame) -> DataFrame:
-    """field, canonical: one name for each set of names joined by renames.
+    """provider_id, field, canonical: one name for each set of a provider's names
+    joined by its renames; rows without a provider hold for all others, where all
+    providers that rename a name agree on what it means.
 
-    Works on counts of (old name, new name), so its size follows the number of
-    distinct field names.  Edges are added by support; an edge that would join
+    Works on counts of (old name, new name) of one provider, so a group's size
+    follows its field names.  Edges are added by support; an edge that would join
     two different fields of the unified table is refused.
     """
-    edges = renames.groupBy("old_field", "new_field").agg(F.count(F.lit(1)).alias("n"))
+    edges = renames.groupBy("provider_id", "old_field", "new_field").agg(F.count(F.lit(1)).alias("n"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         root: dict[str, str] = {name: name for name in UNIFIED}
@@ -378,13 +410,16 @@ def canonical_names(renames: DataFrame) -> DataFrame:
             if b in UNIFIED or (a not in UNIFIED and b < a):
                 a, b = b, a
             root[b] = a
-        return pd.DataFrame([(name, find(name)) for name in sorted(root)], columns=["field", "canonical"])
+        provider = pdf["provider_id"].iloc[0]
+        return pd.DataFrame([(provider, name, find(name)) for name in sorted(root)], columns=["provider_id", "field", "canonical"])
 
-    return edges.groupBy(F.lit(0).alias("all")).applyInPandas(run, "field string, canonical string")
+    own = durable(edges.groupBy("provider_id").applyInPandas(run, "provider_id long, field string, canonical string"))
+    agreed = own.groupBy("field").agg(F.min("canonical").alias("canonical"), F.max("canonical").alias("other")).where("canonical = other")
+    return own.unionByName(agreed.select(F.lit(None).cast("long").alias("provider_id"), "field", "canonical"))
 
 
 def unified_table(feed: DataFrame, names: DataFrame) -> DataFrame:
-    """All records of all files in one schema.
+    """All records of all files in one schema; ``names`` without a provider hold for all.
 
     Columns: the feed's ids, the fields of ``UNIFIED`` as text, ``other``, a map
     of all further fields under their canonical names, and ``more``, a map of
@@ -406,9 +441,13 @@ def unified_table(feed: DataFrame, names: DataFrame) -> DataFrame:
             )
         return pd.Series(out, dtype=object)
 
-    cells = feed.select("feed_row_id", F.explode(entries("payload")).alias("e")).select("feed_row_id", "e.field", "e.value")
-    named = cells.join(names, "field", "left").select(
-        "feed_row_id", F.coalesce("canonical", "field").alias("name"), "field", "value"
+    cells = feed.select("feed_row_id", "provider_id", F.explode(entries("payload")).alias("e")).select("feed_row_id", "provider_id", "e.field", "e.value")
+    if "provider_id" not in names.columns:
+        names = names.withColumn("provider_id", F.lit(None).cast("long"))
+    own = names.where("provider_id is not null")
+    agreed = names.where("provider_id is null").select("field", F.col("canonical").alias("agreed"))
+    named = cells.join(own, ["provider_id", "field"], "left").join(agreed, "field", "left").select(
+        "feed_row_id", F.coalesce("canonical", "agreed", "field").alias("name"), "field", "value"
     )
     # values of one name in the order of their fields, nulls last
     fields = named.groupBy("feed_row_id", "name").agg(

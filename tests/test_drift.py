@@ -76,3 +76,36 @@ def test_unified_table_applies_renames_of_further_fields_and_keeps_every_value(s
     assert [r["other"] for r in got] == [{"담당부서": "가", "비고": None}, {"담당부서": "나"}, {"담당부서": "다"}, {"담당부서": "사"}]
     assert [r["more"] for r in got] == [{}, {}, {"담당부서": ["라"]}, {"별표명": ["마"]}]
     assert sorted(x for x in (got[3]["별표명"], *got[3]["more"]["별표명"])) == ["마", "바"]
+
+
+def test_wide_files_are_flooded_in_little_memory():
+    import tracemalloc
+
+    pairs = [
+        {"old_field": f"가{a}", "new_field": f"나{b}", "types_a": ["string"], "types_b": ["string"], "inner_a": [], "inner_b": [], "n_old": 5, "n_new": 5, "n_both": 5 * (a == b)}
+        for a in range(100) for b in range(100)
+    ]
+    tracemalloc.start()
+    found = D._consistent(pairs)
+    peak = tracemalloc.get_traced_memory()[1]
+    assert {(a[1:], b[1:]) for a, b, _ in found} == {(str(k), str(k)) for k in range(100)}
+    assert peak < 9 * 2**30 * len(pairs) / 90_000 / 9  # 300 x 300 fields stay within 1 GB
+
+
+def test_nested_slots_tell_fields_apart():
+    assert D.nested_slots({"a": [{"b": 1}], "c": None}) == {".a", ".a[]", ".a[].b", ".c"}
+    pair = {"old_field": "x", "types_a": ["object"], "types_b": ["object"], "inner_a": [".url"], "n_old": 4, "n_new": 4, "n_both": 2}
+    same, other = D.flood([{**pair, "new_field": "p", "inner_b": [".url"]}, {**pair, "new_field": "q", "inner_b": [".name"]}])
+    assert same > other
+
+
+def test_names_mean_what_their_provider_means_by_them(spark):
+    a = [{"별표명": f"이름{i}", "k": i} for i in range(4)]
+    b = [{"명칭": f"이름{i}", "k": i} for i in range(4)]
+    c = [{"서식명": f"서식{i}", "k": i} for i in range(4)]
+    d = [{"명칭": f"서식{i}", "k": i} for i in range(4)]
+    table = feed(spark, [(1, 1, "2020-01-01", a), (1, 2, "2020-02-01", b), (2, 3, "2020-01-01", c), (2, 4, "2020-02-01", d), (3, 5, "2020-01-01", b)])
+    _, renames = D.matched(table)
+    rows = D.unified_table(table, D.canonical_names(renames)).orderBy("feed_row_id").collect()
+    assert [(r["별표명"], r["서식명"]) for r in rows if r["line_no"] == 1] == [("이름0", None)] * 2 + [(None, "서식0")] * 2 + [(None, None)]
+    assert rows[-1]["other"]["명칭"] == "이름3"
