@@ -206,9 +206,49 @@ def safe_filename(column: Column) -> Column:
     return strip(F.regexp_replace(column, r'[/:*?"<>|]+', "_"))
 
 
+def bare_filename(column: Column) -> Column:
+    """A name without the characters that file systems refuse."""
+    return F.regexp_replace(column, r'[\\/*?:"<>|]', "")
+
+
+def iso_time(column: Column) -> Column:
+    """A time in ISO form, to the second."""
+    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def title_of_base(base: Column, mst: Column) -> Column:
+    """The title in a base name ``title_mst``; null for other names and empty titles."""
+    tail = F.concat(F.lit("_"), mst)
+    return F.when(F.endswith(base, tail), filled(F.left(base, F.length(base) - F.length(tail))))
+
+
+def article_with_fallback(jo: Column, text: Column) -> Column:
+    """``4`` or ``4의2`` out of an article field, else out of the first article a text names."""
+
+    def read(column: Column, pattern: str) -> Column:
+        value = F.trim(F.coalesce(column, F.lit("")))
+        number, branch = (filled(F.regexp_extract(value, pattern, k)) for k in (1, 2))
+        return F.concat(number, F.coalesce(F.concat(F.lit("의"), branch), F.lit("")))
+
+    return F.coalesce(read(jo, r"(\d+)(?:\s*의\s*(\d+))?"), read(text, r"제\s*(\d+)\s*조\s*(?:의\s*(\d+))?"))
+
+
+def composed(column: Column) -> Column:
+    """Canonical composition (NFC); only texts with combining marks or single jamo reach Python."""
+
+    @F.pandas_udf("string")
+    def compose(values):  # noqa: ANN001, ANN202
+        import unicodedata
+
+        return values.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
+
+    apart = column.rlike("[\\u0300-\\u036f\\u1100-\\u11ff\\u3099\\u309a]")
+    return F.coalesce(compose(F.when(apart, column)), column)
+
+
 def slug(column: Column, size: int = 80) -> Column:
     """A short file name part: forbidden and unprintable characters out."""
-    bare = F.regexp_replace(column, r'[\\/:*?"<>|]+', " ")
+    bare = F.regexp_replace(composed(column), r'[\\/:*?"<>|]+', " ")
     bare = F.regexp_replace(bare, r"[\p{C}\p{Zl}\p{Zp}]", "")
     return F.regexp_replace(F.left(squash(bare), F.lit(size)), r"\s+$", "")
 

@@ -46,13 +46,19 @@ def first_nonempty(tiers: list[DataFrame], key: str) -> DataFrame:
     return rows.alias("r").join(least.alias("l"), same, "left_semi")
 
 
-def cut_at_empty_run(pages: DataFrame, key: str, order: str, empty: Column, run: int = 5, most: int = 80) -> DataFrame:
+def cut_at_empty_run(
+    pages: DataFrame, key: str, order: str, empty: Column, run: int = 5, most: int = 80, failed: Column | None = None
+) -> DataFrame:
     """Rows of each key up to and with the ``run``-th empty one in a row.
 
-    Only the first ``most`` rows of a key are looked at, as a pager would.
+    Only the first ``most`` rows of a key are looked at, as a pager would.  A
+    ``failed`` page gives no row and neither ends nor lengthens a run of empty ones.
     """
     by = Window.partitionBy(key).orderBy(order)
-    rows = pages.withColumn("page", F.row_number().over(by)).where(F.col("page") <= most).withColumn("is_empty", empty.cast("int"))
+    rows = pages.withColumn("page", F.row_number().over(by)).where(F.col("page") <= most)
+    if failed is not None:
+        rows = rows.where(~F.coalesce(failed, F.lit(False)))
+    rows = rows.withColumn("is_empty", empty.cast("int"))
     rows = rows.withColumn("block", F.sum(F.when(F.col("is_empty") == 0, 1).otherwise(0)).over(by))
     streak = F.sum("is_empty").over(Window.partitionBy(key, "block").orderBy(order))
     rows = rows.withColumn("streak", streak)

@@ -121,7 +121,7 @@ def best_annexes(units: DataFrame, order: str = "unit_id") -> DataFrame:
     return best
 
 
-def annex_from_feed(record: Column, mst: Column | None, base: str) -> dict[str, Column]:
+def annex_from_feed(record: Column, base: str) -> dict[str, Column]:
     """Columns of an annex unit out of one record (a map of fields) of an annex list."""
 
     def either(*names: str) -> Column:
@@ -132,7 +132,6 @@ def annex_from_feed(record: Column, mst: Column | None, base: str) -> dict[str,
     number = X.annex_number(either("별표번호", "번호"))
     name = X.squash(either("별표명", "서식명", "항목명", "명칭", "제목"))
     rel = X.squash(either("관련법령일련번호", "법령일련번호", "MST"))
-    del mst
     return {
         "rel": rel,
         "level": level,
@@ -145,6 +144,11 @@ def annex_from_feed(record: Column, mst: Column | None, base: str) -> dict[str,
     }
 
 
+def annex_of_law(rel: Column, mst: Column) -> Column:
+    """Whether a listed annex belongs to the law asked about: it names that law, or none."""
+    return X.filled(rel).isNull() | (rel == mst)
+
+
 def active_as_of(cutoff: Column) -> Column:
     """Whether a unit holds at a date: true where either date is unknown."""
     until, since = X.as_of_date(cutoff), X.as_of_date(F.col("effective_date"))

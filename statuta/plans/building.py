@@ -152,7 +152,7 @@ def annex_units(spark, d):
     ).split()
     pairs = [x for n in names for x in (F.lit(n), F.get_json_object("payload", f"$.{n}"))]
     feed = table(spark, d, "annex_feed").select("feed_row_id", F.create_map(*pairs).alias("record"))
-    unit = U.annex_from_feed(F.col("record"), None, BASE)
+    unit = U.annex_from_feed(F.col("record"), BASE)
     return feed.select("feed_row_id", unit["level"].alias("level"), unit["title"].alias("title"), unit["html"].alias("html"))
 
 

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statuta.plans import building, restructuring, statutes
+from statuta.plans import building, completing, restructuring, statutes
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**statutes.QUERIES, **building.QUERIES, **restructuring.QUERIES}
-SQL: dict[str, str] = {**statutes.SQL, **building.SQL, **restructuring.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**statutes.QUERIES, **building.QUERIES, **completing.QUERIES, **restructuring.QUERIES}
+SQL: dict[str, str] = {**statutes.SQL, **building.SQL, **completing.SQL, **restructuring.SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

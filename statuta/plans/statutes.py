@@ -330,7 +330,7 @@ def safe_filename(spark, d):
     return _units(spark, d).select("unit_id", X.safe_filename(F.coalesce("title", F.lit(""))).alias("name"))
 
 
-@query(rf"""SELECT law_row_id, regexp_replace(left({_squash(r"regexp_replace(regexp_replace(law_name, '[\\/:*?" + '"' + r"<>|]+', ' ', 'g'), '[\p{C}\p{Zl}\p{Zp}]', '', 'g')")}, 80), '\s+$', '') AS slug FROM laws""")
+@query(rf"""SELECT law_row_id, regexp_replace(left({_squash(r"regexp_replace(regexp_replace(nfc_normalize(law_name), '[\\/:*?" + '"' + r"<>|]+', ' ', 'g'), '[\p{C}\p{Zl}\p{Zp}]', '', 'g')")}, 80), '\s+$', '') AS slug FROM laws""")
 def fs_slug(spark, d):
     return table(spark, d, "laws").select("law_row_id", X.slug(F.col("law_name")).alias("slug"))
 

@@ -52,12 +52,14 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
     The folder is the one the session names in ``spark.checkpoint.dir``; only
-    where that is unset (tests, local runs) a local folder is used.
+    where that is unset on a local master (tests) a local folder is used.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             import tempfile
 
             folder = tempfile.mkdtemp(prefix="statuta-checkpoint-")

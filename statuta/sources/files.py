@@ -24,6 +24,17 @@ def read_units(spark: SparkSession, *paths: str) -> DataFrame:
     return kept.withColumns({"base": name["base"], "mst": name["mst"]})
 
 
+def find_unit_files(spark: SparkSession, folder: str) -> DataFrame:
+    """path, base, mst of every units file in a folder and those below: ``*_units.json``,
+    or ``units.json`` in a folder of its law's number."""
+    found = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*units.json").option("recursiveFileLookup", True).load(folder).select("path")
+    )
+    name, parent = unit_file_name(F.col("path")), F.element_at(F.split("path", "/"), -2)
+    bundled = F.element_at(F.split("path", "/"), -1) == "units.json"
+    return found.select("path", F.when(bundled, parent).otherwise(name["base"]).alias("base"), F.when(bundled, parent).otherwise(name["mst"]).alias("mst"))
+
+
 def unit_file_name(path: Column) -> Column:
     """Struct (base, mst) of a path like ``.../name_12_units.json``."""
     file = F.url_decode(F.element_at(F.split(path, "/"), -1))

@@ -48,6 +48,10 @@ class BadResponse(RuntimeError):
     """A response that is no JSON document."""
 
 
+class Refused(RuntimeError):
+    """An answer that asking again can't change (such as 401 or 404)."""
+
+
 def checked_json(content_type: str | None, body: str | None) -> object:
     """The document of a response; raises ``BadResponse`` for anything else."""
     kind = classify(content_type, body)
@@ -89,8 +93,10 @@ def with_retries(request: Callable[[], tuple[int, str, str]], sleep: Callable[[f
     for attempt in range(TRIES):
         try:
             status, kind, body = request()
-            if status in AGAIN or status >= 400:
+            if status in AGAIN or status >= 500:
                 raise BadResponse(f"status {status}")
+            if status >= 400:
+                raise Refused(f"status {status}")
             return checked_json(kind, body)
         except (BadResponse, OSError, ValueError):
             if attempt == TRIES - 1:

@@ -76,3 +76,44 @@ def test_containment(spark):
 
 def test_queries_and_sql_agree_on_names():
     assert set(building.SQL) <= set(building.QUERIES)
+
+
+def test_only_what_may_change_is_asked_again():
+    for status, tries in ((401, 1), (404, 1), (429, 3), (503, 3)):
+        asked = []
+
+        def request(status=status, asked=asked):
+            asked.append(status)
+            return status, "text/html", "no"
+
+        try:
+            service.with_retries(request, sleep=lambda s: None)
+        except RuntimeError:
+            pass
+        assert len(asked) == tries
+
+
+def test_failed_pages_neither_end_nor_lengthen_a_run(spark):
+    rows = [("a", i, n, bad) for i, (n, bad) in enumerate([(1, False), (0, False), (0, True), (0, False), (9, True), (0, False), (5, False)])]
+    pages = spark.createDataFrame(rows, "k string, i int, n int, bad boolean")
+    got = lookup.cut_at_empty_run(pages, "k", "i", pages["n"] == 0, run=3, failed=pages["bad"])
+    assert sorted(r["i"] for r in got.collect()) == [0, 1, 3, 5]
+
+
+def test_unit_files_are_found_by_name_or_folder(spark, tmp_path):
+    (tmp_path / "12").mkdir()
+    for name in ("12/units.json", "나 법_13_units.json", "other.json"):
+        (tmp_path / name).write_text("[]", encoding="utf-8")
+    got = {(r["base"], r["mst"]) for r in files.find_unit_files(spark, str(tmp_path)).collect()}
+    assert got == {("12", "12"), ("나 법_13", "13")}
+
+
+def test_names_are_composed(spark):
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    from statuta.functions import text as X
+
+    frame = spark.createDataFrame([(unicodedata.normalize("NFD", "가나 법"),), ("가나 법",), (None,)], "s string")
+    assert [r[0] for r in frame.select(X.slug(F.col("s"))).collect()][:2] == ["가나 법", "가나 법"]
