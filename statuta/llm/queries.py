@@ -35,6 +35,23 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_oversized(table(spark, d, "units").select("unit_id", "text"))
 
 
+def p4_restored(spark: SparkSession, d: str) -> DataFrame:
+    """For every unit the hash of the text that its pieces give without their
+    overlaps, and whether all pieces fit and begin with the end of the one before."""
+    pieces = splitting.split_oversized(table(spark, d, "units").select("unit_id", "text"))
+    # the pieces of one text, which is one value already
+    parts = pieces.groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "start_pos", "end_pos", "piece"))).alias("p"))
+    own = F.transform("p", lambda x: F.substring(x["piece"], F.length(x["piece"]) - (x["end_pos"] - x["start_pos"]) + 1, x["end_pos"] - x["start_pos"]))
+    before = F.concat(F.array(F.lit("")), F.transform("p", lambda x: F.right(x["piece"], F.lit(splitting.OVERLAP))))
+    heads = F.transform("p", lambda x, k: F.startswith(x["piece"], F.when(k == 0, F.lit("")).otherwise(F.get(before, k))))
+    return parts.select(
+        "unit_id",
+        F.md5(F.array_join(own, "")).alias("digest"),
+        F.forall("p", lambda x: F.length(x["piece"]) <= splitting.LIMIT).alias("fits"),
+        F.forall(heads, lambda ok: ok).alias("overlapping"),
+    )
+
+
 def _annex_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return table(spark, d, "units"), table(spark, d, "trust_sources")
 
@@ -106,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_clean": p1_clean,
     "p4_found": p4_found,
     "p4_pieces": p4_pieces,
+    "p4_restored": p4_restored,
     "p5_found": p5_found,
     "p5_records": p5_records,
     "p5_values": p5_values,
@@ -156,6 +174,7 @@ SELECT group_id, field, unit_id FROM (SELECT group_id, x.f AS field, unit_id, ro
 SQL: dict[str, str] = {
     "p5_found": _P5,
     "p4_found": "SELECT unit_id FROM units WHERE length(text) > 2000",
+    "p4_restored": "SELECT unit_id, md5(text) AS digest, true AS fits, true AS overlapping FROM units WHERE text IS NOT NULL",
     "p6_roundtrip": """
         SELECT doc_id, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS digest FROM documents
     """,

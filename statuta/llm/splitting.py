@@ -7,7 +7,8 @@ characters of the piece before.  Sizes are counted in Unicode code points.
 
 Defined results: null and blank texts that fit give one piece holding the text
 as it is (a null text gives no piece); a text of exactly ``limit`` characters
-is not cut; where a stretch has no boundary at all it is cut at its midpoint.
+is not cut; where a stretch has no boundary that leaves an eighth of a piece on
+both sides it is cut at its midpoint.
 Joining the pieces without their overlaps restores the text exactly.
 """
 
@@ -51,12 +52,11 @@ def _boundaries(text: str) -> list[list[int]]:
     return [[m.start() for m in p.finditer(text)] for p in _BOUNDARIES]
 
 
-def _cut(text: str, ranked: list[list[int]], start: int, end: int) -> int:
+def _cut(text: str, ranked: list[list[int]], start: int, end: int, least: int) -> int:
     """The strongest boundary of ``text[start:end]`` near its midpoint, or, if
-    there is none near, the strongest one anywhere in it."""
+    there is none near, the strongest one that leaves ``least`` on both sides."""
     middle = (start + end) // 2
-    for share in (REACH, 0.5):
-        reach = max(1, int((end - start) * share))
+    for reach in (max(1, int((end - start) * REACH)), middle - start - least):
         for positions in ranked:
             k = bisect_left(positions, middle)
             near = [p for p in positions[max(0, k - 1) : k + 1] if start < p < end and abs(p - middle) <= reach]
@@ -82,7 +82,7 @@ def bisect_spans(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[
         if end - start <= room:
             spans.append((start, end))
             continue
-        cut = _cut(text, ranked, start, end)
+        cut = _cut(text, ranked, start, end, room // 8)
         stack += [(cut, end), (start, cut)]
     return spans
 

@@ -53,3 +53,9 @@ def test_tables(spark):
 
 def test_empty_table(spark):
     assert S.split_oversized(spark.createDataFrame([], "unit_id long, text string")).count() == 0
+
+
+def test_no_slivers():
+    for text in ("가. " + "나" * 5000, "나" * 1849 + " 가" + "나" * 951, "가 " * 5 + "나" * 3000 + " 가"):
+        sizes = [e - s for s, e in S.bisect_spans(text)]
+        assert sum(sizes) == len(text) and min(sizes) >= (S.LIMIT - S.OVERLAP) // 8
