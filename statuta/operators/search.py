@@ -117,7 +117,7 @@ def considered(index: DataFrame, queries: DataFrame) -> DataFrame:
         U.active_as_of(F.col("as_of")).alias("active"),
         U.match_count(*cite).alias("matches"),
         U.matches_all(*cite).alias("exact"),
-    ).drop("v", "q", "effective_date", "as_of")
+    ).drop("v", "q")
 
 
 def promoted(strict: bool = False, require_jo: bool = False) -> Column:

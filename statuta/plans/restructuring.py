@@ -51,8 +51,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_annexes": _kind("별표"),
     "p2_links": _kind("링크"),
     "p2_variants": p2_variants,
-    # the tables of the subtypes
-    **{f"p2_{route}s": _kind(kind, route) for kind, routes in nested.SUBTYPES.items() for route in routes if "_" in route or route == "form"},
+    # tables of subtypes
+    "p2_article_branches": _kind("조", "article_branch"),
+    "p2_paragraph_branches": _kind("항", "paragraph_branch"),
+    "p2_paragraph_texts": _kind("항", "paragraph_text"),
+    "p2_item_branches": _kind("호", "item_branch"),
+    "p2_item_texts": _kind("호", "item_text"),
+    "p2_subitem_texts": _kind("목", "subitem_text"),
+    "p2_annex_branches": _kind("별표", "annex_branch"),
+    "p2_forms": _kind("별표", "form"),
+    "p2_form_branches": _kind("별표", "form_branch"),
+    "p2_link_texts": _kind("링크", "link_text"),
     "p3_found": p3_found,
     "p3_annexes": p3_annexes,
 }
