@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statuta.functions import text as X
-from statuta.session import durable
+from statuta.session import stored
 
 #: Levels that lie in a law's body; the others are annexes, forms and addenda.
 BODY = ("조", "항", "목")
 ANNEX = ("별표", "서식")
+#: Rows (some dozen bytes each) of laws' places that are broadcast at most.
+FEW = 200_000
 
 
 def normalised(units: DataFrame) -> DataFrame:
@@ -65,6 +67,12 @@ def deduplicated(units: DataFrame, order: str = "unit_id") -> DataFrame:
     return units.join(first, order, "left_semi")
 
 
+def first_of_each(units: DataFrame, keys: list[str], order: str = "unit_id") -> DataFrame:
+    """The first row of each key, in one pass; every task passes on one row a key at most."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return units.withColumn("_nth", place).where("_nth = 1").drop("_nth")
+
+
 def with_dense_ids(units: DataFrame, order: str = "unit_id", name: str = "faiss_id") -> DataFrame:
     """Position of each unit in its law, from 0.
 
@@ -73,14 +81,14 @@ def with_dense_ids(units: DataFrame, order: str = "unit_id", name: str = "faiss_
     of its law in earlier ranges.  The layout is written once, as both parts
     must see the same ranges.
     """
-    ranged = durable(units.repartitionByRange("mst", order).withColumn("_range", F.spark_partition_id()))
-    sizes = ranged.groupBy("mst", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    placed = units.repartitionByRange("mst", order).sortWithinPartitions("mst", order)
+    ranged = stored(placed.withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}))
+    sizes = ranged.groupBy("mst", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
     before = Window.partitionBy("mst").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("mst", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("mst", "_range").orderBy(order)) - 1
-    rows = ranged.withColumn("_place", place).alias("r")
+    starts = sizes.select("mst", "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    starts = F.broadcast(starts) if sizes.count() <= FEW else starts
     same = F.col("r.mst").eqNullSafe(F.col("s.mst")) & (F.col("r._range") == F.col("s._range"))
-    return rows.join(starts.alias("s"), same).select(
+    return ranged.alias("r").join(starts.alias("s"), same).select(
         *(F.col(f"r.{c}") for c in units.columns), (F.col("s._start") + F.col("r._place")).cast("int").alias(name)
     )
 

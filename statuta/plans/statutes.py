@@ -18,6 +18,8 @@ SQL: dict[str, str] = {}
 
 #: Host for relative links.
 BASE = "http://law.example"
+#: Names of the columns of ``units.stable_key``.
+_KEYS = ("k_jo", "k_hang", "k_mok", "k_title", "k_text")
 
 
 def query(sql: str | None = None):
@@ -140,6 +142,24 @@ def _ids(spark: SparkSession, d: str, asked: DataFrame | None = None) -> DataFra
     return U.with_dense_ids(U.deduplicated(U.normalised(spread(units, "unit_id"))))
 
 
+def _index(spark: SparkSession, d: str, asked: DataFrame, *more: str) -> DataFrame:
+    """The search index over the units of the laws asked about, with dense ids and ``unit_id``.
+
+    Texts are read once, for numbers, keys and vectors; only those are moved and written.
+    """
+    units = U.normalised(spread(search.asked_units(_units(spark, d), asked), "unit_id"))
+    keys = U.stable_key()
+    rows = search.entries(units.select("*", *keys), "unit_id", *more, *_KEYS)
+    return U.with_dense_ids(U.first_of_each(rows, ["mst", *_KEYS]).drop(*_KEYS))
+
+
+def _told(spark: SparkSession, d: str, best: DataFrame, index: DataFrame, *columns) -> DataFrame:  # noqa: ANN002
+    """Answers with columns of their units, which are read for the answers only."""
+    ids = best.join(index.select("mst", "faiss_id", "unit_id"), ["mst", "faiss_id"])
+    found = _units(spark, d).join(ids.drop("mst"), "unit_id")
+    return U.normalised(found).select(*columns)
+
+
 # ---------------------------------------------------------- vectors
 
 
@@ -648,7 +668,7 @@ _TOP = 5
 
 def _found(spark, d, questions=None):
     asked = _questions(spark) if questions is None else questions
-    return search.candidates(search.considered(search.indexed(_ids(spark, d, asked)), asked), _TOP)
+    return search.candidates(_index(spark, d, asked), asked, _TOP)
 
 
 @query(f"WITH {_CAND} SELECT qid, faiss_id::INT AS faiss_id, stage FROM cand")
@@ -686,7 +706,9 @@ def topk_guarantee(spark, d, questions=None):
 )
 def hybrid_search(spark, d, questions=None):
     asked = _questions(spark) if questions is None else questions
-    return search.search(_ids(spark, d, asked), asked, _TOP).withColumn("distance", F.round("distance", 6))
+    index = _index(spark, d, asked)
+    best = search.best_answers(index, asked, _TOP).withColumn("distance", F.round("distance", 6))
+    return _told(spark, d, best, index, "qid", "rank", *search.HIT)
 
 
 @query(
@@ -703,7 +725,9 @@ def hybrid_search(spark, d, questions=None):
 )
 def rerank_v2(spark, d, questions=None):
     asked = _questions(spark) if questions is None else questions
-    return search.reranked_by_parts(_ids(spark, d, asked), asked, _TOP)
+    index = _index(spark, d, asked, "path", "display_path_norm")
+    best = search.reranked_by_parts(index, asked, _TOP)
+    return _told(spark, d, best, index, "qid", "rank", "faiss_id", "score", "shown", X.snippet(F.col("text")).alias("snippet"))
 
 
 # ------------------------------- the same, asked by every twentieth unit of all laws

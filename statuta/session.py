@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,15 +49,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(max(want, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), key)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``; only
-    where that is unset on a local master (tests) a local folder is used.
-    """
-    context = df.sparkSession.sparkContext
+def _with_checkpoint_folder(spark: SparkSession) -> None:
+    """Set the folder for checkpoints: the one the session names in ``spark.checkpoint.dir``;
+    only where that is unset on a local master (tests) a local folder is used."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -64,4 +62,18 @@ def durable(df: DataFrame) -> DataFrame:
 
             folder = tempfile.mkdtemp(prefix="statuta-checkpoint-")
         context.setCheckpointDir(folder)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint."""
+    _with_checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As ``durable``, but as compressed Parquet in that folder, of which readers take the columns they need."""
+    spark = df.sparkSession
+    _with_checkpoint_folder(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
