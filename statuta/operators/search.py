@@ -90,15 +90,15 @@ _SHOWN = ("path", "display_path_norm")
 ALWAYS, EVER = -(2**31), 2**31 - 1
 
 
-def entries(units: DataFrame, *more: str) -> DataFrame:
+def entries(units: DataFrame, *more: str, vectors: bool = True) -> DataFrame:
     """Keys and numbers of normalised units, the article they go by (``own``), the day
-    they hold from (``since``), and their vector ``v``."""
+    they hold from (``since``), and, with ``vectors``, their vector ``v``."""
     return units.select(
         *_INDEXED,
         *more,
         own_article().alias("own"),
         F.coalesce(F.unix_date(X.as_of_date(F.col("effective_date"))), F.lit(ALWAYS)).alias("since"),
-        V.hash_embedding_batch(embed_input()).alias("v"),
+        *([V.hash_embedding_batch(embed_input()).alias("v")] if vectors else []),
     )
 
 
@@ -120,12 +120,11 @@ def asked_units(units: DataFrame, queries: DataFrame) -> DataFrame:
     return units.join(F.broadcast(laws) if laws.count() <= STATED else laws, "mst", "left_semi")
 
 
-def asked_about(queries: DataFrame) -> DataFrame:
-    """qid, mst, their vector ``q``, the citation ``c`` and the last day ``until`` of each question, written once."""
+def asked_about(queries: DataFrame, vectors: bool = True) -> DataFrame:
+    """qid, mst, the last day ``until``, the citation ``c`` and, with ``vectors``, the vector ``q`` of each question, written once."""
     until = F.coalesce(F.unix_date(X.as_of_date(F.col("as_of"))), F.lit(EVER)).alias("until")
-    return stored(
-        queries.select("qid", "mst", until, V.hash_embedding_batch(F.col("query")).alias("q"), X.citation(X.strip(F.col("query"))).alias("c"))
-    )
+    text = F.col("query")
+    return stored(queries.select("qid", "mst", until, X.citation(X.strip(text)).alias("c"), *([V.hash_embedding_batch(text).alias("q")] if vectors else [])))
 
 
 def pairs_by_key(units: DataFrame, asked: DataFrame, unit_keys: Column, asked_keys: Column) -> DataFrame:
@@ -205,17 +204,6 @@ def considered(index: DataFrame, queries: DataFrame) -> DataFrame:
     ).drop("v", "q")
 
 
-def promoted(strict: bool = False, require_jo: bool = False) -> Column:
-    """Whether a citation match promotes a unit; only the strict way heeds the date."""
-    if not strict:
-        return F.col("exact")
-    enough = F.col("active") & (F.col("matches") >= 2)
-    if require_jo:
-        own = X.strip(F.coalesce(F.col("jo_norm"), F.col("jo"), F.lit("")))
-        enough &= X.filled(F.col("c.jo")).isNull() | (own == F.col("c.jo"))
-    return enough
-
-
 # What ``near_units`` says of a pair.
 JO, HANG, MOK, ACTIVE, EXACT, IS_ANNEX, NO_JO = 1, 2, 4, 8, 16, 32, 64
 

@@ -595,24 +595,23 @@ _BASE = f"""{IDS}, {_ASKED}, base AS (SELECT i.*, c.qid, c.query, c.as_of, c.c_j
 
 
 def _asked(spark, d, questions=None):
-    """Units with the questions of their law: the stated ones, or those given, which may be many."""
-    asked = (_questions(spark) if questions is None else questions).withColumn("c", X.citation(X.strip(F.col("query"))))
-    keep = ("unit_id", "mst", "jo", "jo_norm", "hang_norm", "mok_norm", "level", "path", "display_path_norm", "effective_date")
-    return _ids(spark, d, asked).select(*keep).join(F.broadcast(asked) if asked.count() <= search.STATED else asked, "mst")
-
-
-def _cite():
-    return [F.col("c.jo"), F.col("c.hang"), F.col("c.mok")]
+    """Entries of the distinct units of the laws asked about, without vectors, and the questions: the stated ones, or those given, which may be many."""
+    asked = search.asked_about(_questions(spark) if questions is None else questions, vectors=False)
+    units = U.normalised(spread(search.asked_units(_units(spark, d), asked), "unit_id")).select("*", *U.stable_key())
+    return U.first_of_each(search.entries(units, "unit_id", "path", "display_path_norm", *_KEYS, vectors=False), ["mst", *_KEYS]), asked
 
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE active")
 def as_of_filter(spark, d, questions=None):
-    return _asked(spark, d, questions).where(U.active_as_of(F.col("as_of"))).select("qid", "unit_id")
+    units, asked = _asked(spark, d, questions)
+    units, asked = units.select("unit_id", "mst", "since"), asked.select("qid", "mst", "until")
+    asked = F.broadcast(asked) if asked.count() <= search.STATED else asked
+    return units.join(asked, (units["mst"] == asked["mst"]) & (F.col("since") <= F.col("until"))).select("qid", "unit_id")
 
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE exact")
 def meta_match_all(spark, d, questions=None):
-    return _asked(spark, d, questions).where(U.matches_all(*_cite())).select("qid", "unit_id")
+    return search.exact_pairs(*_asked(spark, d, questions)).select("qid", "unit_id")
 
 
 @query(
@@ -621,18 +620,19 @@ def meta_match_all(spark, d, questions=None):
       AND (c_mok IS NULL OR coalesce(mok_norm = c_mok, false) OR contains(shown, '제' || c_mok || '호'))"""
 )
 def meta_match_lenient(spark, d, questions=None):
-    return _asked(spark, d, questions).where(U.matches_leniently(*_cite())).select("qid", "unit_id")
+    return search.lenient_pairs(*_asked(spark, d, questions), uncited=True).select("qid", "unit_id")
 
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE active AND matches >= 2")
 def meta_match_strict(spark, d, questions=None):
-    rows = _asked(spark, d, questions).withColumns({"active": U.active_as_of(F.col("as_of")), "matches": U.match_count(*_cite())})
-    return rows.where(search.promoted(strict=True)).select("qid", "unit_id")
+    return search.strict_pairs(*_asked(spark, d, questions)).select("qid", "unit_id")
 
 
 @query(f"WITH {_BASE} SELECT qid, matches::INT AS matches, count(*) AS units FROM base GROUP BY qid, matches")
 def meta_match_count(spark, d, questions=None):
-    rows = _asked(spark, d, questions).withColumn("matches", U.match_count(*_cite()))
+    units, asked = _asked(spark, d, questions)
+    asked = F.broadcast(asked) if asked.count() <= search.STATED else asked
+    rows = units.join(asked, "mst").withColumn("matches", U.match_count(F.col("c.jo"), F.col("c.hang"), F.col("c.mok")))
     return rows.groupBy("qid", "matches").agg(F.count(F.lit(1)).alias("units"))
 
 

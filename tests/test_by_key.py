@@ -93,3 +93,16 @@ def forms_no_pairs(spark, name, monkeypatch):
 @needs_data
 def test_hybrid_search_forms_no_pairs(spark, monkeypatch):
     assert forms_no_pairs(spark, "hybrid_search", monkeypatch)
+
+
+def numbers_no_units(spark, name, monkeypatch):
+    def fail(*_):
+        raise AssertionError("whole units were laid out and written for ids that the filter doesn't need")
+
+    monkeypatch.setattr(U, "with_dense_ids", fail)
+    return "qid" in catalog.QUERIES[f"{name}_every20"](spark, DATA).columns
+
+
+@needs_data
+def test_meta_match_lenient_needs_no_ids(spark, monkeypatch):
+    assert numbers_no_units(spark, "meta_match_lenient", monkeypatch)
