@@ -106,3 +106,8 @@ def numbers_no_units(spark, name, monkeypatch):
 @needs_data
 def test_meta_match_lenient_needs_no_ids(spark, monkeypatch):
     assert numbers_no_units(spark, "meta_match_lenient", monkeypatch)
+
+
+@needs_data
+def test_as_of_filter_needs_no_ids(spark, monkeypatch):
+    assert numbers_no_units(spark, "as_of_filter", monkeypatch)
