@@ -111,3 +111,8 @@ def test_meta_match_lenient_needs_no_ids(spark, monkeypatch):
 @needs_data
 def test_as_of_filter_needs_no_ids(spark, monkeypatch):
     assert numbers_no_units(spark, "as_of_filter", monkeypatch)
+
+
+@needs_data
+def test_meta_match_all_needs_no_ids(spark, monkeypatch):
+    assert numbers_no_units(spark, "meta_match_all", monkeypatch)
