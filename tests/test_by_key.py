@@ -116,3 +116,8 @@ def test_as_of_filter_needs_no_ids(spark, monkeypatch):
 @needs_data
 def test_meta_match_all_needs_no_ids(spark, monkeypatch):
     assert numbers_no_units(spark, "meta_match_all", monkeypatch)
+
+
+@needs_data
+def test_meta_match_strict_needs_no_ids(spark, monkeypatch):
+    assert numbers_no_units(spark, "meta_match_strict", monkeypatch)
