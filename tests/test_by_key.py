@@ -121,3 +121,8 @@ def test_meta_match_all_needs_no_ids(spark, monkeypatch):
 @needs_data
 def test_meta_match_strict_needs_no_ids(spark, monkeypatch):
     assert numbers_no_units(spark, "meta_match_strict", monkeypatch)
+
+
+@needs_data
+def test_anti_inject_forms_no_pairs(spark, monkeypatch):
+    assert forms_no_pairs(spark, "anti_inject", monkeypatch)
