@@ -126,3 +126,8 @@ def test_meta_match_strict_needs_no_ids(spark, monkeypatch):
 @needs_data
 def test_anti_inject_forms_no_pairs(spark, monkeypatch):
     assert forms_no_pairs(spark, "anti_inject", monkeypatch)
+
+
+@needs_data
+def test_rerank_v2_forms_no_pairs(spark, monkeypatch):
+    assert forms_no_pairs(spark, "rerank_v2", monkeypatch)
