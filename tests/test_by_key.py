@@ -131,3 +131,8 @@ def test_anti_inject_forms_no_pairs(spark, monkeypatch):
 @needs_data
 def test_rerank_v2_forms_no_pairs(spark, monkeypatch):
     assert forms_no_pairs(spark, "rerank_v2", monkeypatch)
+
+
+@needs_data
+def test_candidate_union_forms_no_pairs(spark, monkeypatch):
+    assert forms_no_pairs(spark, "candidate_union", monkeypatch)
