@@ -136,3 +136,8 @@ def test_rerank_v2_forms_no_pairs(spark, monkeypatch):
 @needs_data
 def test_candidate_union_forms_no_pairs(spark, monkeypatch):
     assert forms_no_pairs(spark, "candidate_union", monkeypatch)
+
+
+@needs_data
+def test_seed_select_forms_no_pairs(spark, monkeypatch):
+    assert forms_no_pairs(spark, "seed_select", monkeypatch)
