@@ -141,3 +141,8 @@ def test_candidate_union_forms_no_pairs(spark, monkeypatch):
 @needs_data
 def test_seed_select_forms_no_pairs(spark, monkeypatch):
     assert forms_no_pairs(spark, "seed_select", monkeypatch)
+
+
+@needs_data
+def test_ref_semi_join_forms_no_pairs(spark, monkeypatch):
+    assert forms_no_pairs(spark, "ref_semi_join", monkeypatch)
