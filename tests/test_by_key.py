@@ -146,3 +146,8 @@ def test_seed_select_forms_no_pairs(spark, monkeypatch):
 @needs_data
 def test_ref_semi_join_forms_no_pairs(spark, monkeypatch):
     assert forms_no_pairs(spark, "ref_semi_join", monkeypatch)
+
+
+@needs_data
+def test_priority_rerank_forms_no_pairs(spark, monkeypatch):
+    assert forms_no_pairs(spark, "priority_rerank", monkeypatch)
