@@ -151,3 +151,8 @@ def test_ref_semi_join_forms_no_pairs(spark, monkeypatch):
 @needs_data
 def test_priority_rerank_forms_no_pairs(spark, monkeypatch):
     assert forms_no_pairs(spark, "priority_rerank", monkeypatch)
+
+
+@needs_data
+def test_topk_guarantee_forms_no_pairs(spark, monkeypatch):
+    assert forms_no_pairs(spark, "topk_guarantee", monkeypatch)
