@@ -22,6 +22,9 @@ STATED = 200_000
 OVERFETCH, FAR = 20, 1e9
 
 
+#: Pairs of a list of units and its law's questions, such lists in a task, and questions in a list.
+LISTED, LISTS, ASKED_BLOCK = 2_000_000, 16, 64
+
 #: Queries and corpus vectors that one task holds at a time.
 QUERY_BLOCK, CORPUS_BLOCK = 2_048, 50_000
 
@@ -185,6 +188,38 @@ def lenient_pairs(units: DataFrame, asked: DataFrame, uncited: bool = False) ->
     return pairs_by_key(units, asked, keys, _asked_key(*([F.lit("")] if uncited else []))).where(U.matches_leniently(*_cite()))
 
 
+def valid_pairs(units: DataFrame, asked: DataFrame) -> DataFrame:
+    """qid, unit_id: each unit (with ``since``) and the questions of its law (with ``qid``) at whose date it holds.
+
+    The result grows with the square of a law, so one of more than ``LISTED``
+    pairs is kept as lists of units of one first day and of questions of one
+    last day.  Where the days fit, all pairs of two lists are valid, and they
+    come as equal stretches, which columnar files keep in a small part of the
+    space.  Lists are cut and dealt into tasks by their number of pairs.
+    """
+    units = stored(units.select("unit_id", "mst", "since"))
+    asked = asked.select("qid", "mst", "until")
+    sizes = units.groupBy("mst").agg(F.count(F.lit(1)).alias("n")).join(asked.groupBy("mst").agg(F.count(F.lit(1)).alias("m")), "mst")
+    hot = sizes.where(F.col("n") * F.col("m") > LISTED).select("mst", F.ceil(F.col("n") * F.col("m") / LISTED).cast("int").alias("cuts"))
+    rows = hot.collect()
+    hot = F.broadcast(units.sparkSession.createDataFrame(rows, hot.schema))
+    held = F.col("since") <= F.col("until")
+    few = units.join(hot, "mst", "left_anti").join(asked, "mst").where(held).select("qid", "unit_id")
+    if not rows:
+        return few
+    by = ["mst", "since", "cut"]
+    cut = units.join(hot, "mst").select("unit_id", "mst", "since", F.pmod(F.xxhash64("unit_id"), F.col("cuts")).alias("cut"))
+    dealt = cut.repartition(max(-(-sum(r["cuts"] for r in rows) // LISTS), units.sparkSession.sparkContext.defaultParallelism), *by)
+    own = dealt.groupBy(*by).agg(F.collect_list(F.struct("unit_id")).alias("own"))
+    place = F.row_number().over(Window.partitionBy("mst", "until").orderBy("qid"))
+    block = F.floor((place - 1) / ASKED_BLOCK).alias("block")
+    blocks = asked.join(hot, "mst", "left_semi").select("*", block).groupBy("mst", "until", "block").agg(F.collect_list("qid").alias("qids"))
+    # Compiled code holds all rows that come of one of its rows; transform isn't compiled with the rest, so these are a block's, not a list's.
+    ids = F.explode(F.transform("own", lambda u: u["unit_id"])).alias("unit_id")
+    listed = own.join(F.broadcast(blocks), "mst").where(held).select("qids", ids)
+    return few.unionByName(listed.select(F.explode("qids").alias("qid"), "unit_id"))
+
+
 def considered(index: DataFrame, queries: DataFrame) -> DataFrame:
     """Each unit with each question of its law: distance, validity, citation matches.
 

@@ -603,10 +603,7 @@ def _asked(spark, d, questions=None):
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE active")
 def as_of_filter(spark, d, questions=None):
-    units, asked = _asked(spark, d, questions)
-    units, asked = units.select("unit_id", "mst", "since"), asked.select("qid", "mst", "until")
-    asked = F.broadcast(asked) if asked.count() <= search.STATED else asked
-    return units.join(asked, (units["mst"] == asked["mst"]) & (F.col("since") <= F.col("until"))).select("qid", "unit_id")
+    return search.valid_pairs(*_asked(spark, d, questions))
 
 
 @query(f"WITH {_BASE} SELECT qid, unit_id FROM base WHERE exact")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from statuta.operators import search as S
 from statuta.operators import units as U
-from statuta.plans import catalog
+from statuta.plans import catalog, statutes
 from tests.support import DATA, needs_data
 from tests.test_search import COLUMNS
 
@@ -113,6 +113,35 @@ def test_as_of_filter_needs_no_ids(spark, monkeypatch):
     assert numbers_no_units(spark, "as_of_filter", monkeypatch)
 
 
+@pytest.mark.parametrize("listed", [50, 400, 2_000_000])
+def test_valid_pairs_in_lists_equal_all_pairs(spark, monkeypatch, listed):
+    units, questions = small(spark)
+    units = S.entries(units, "unit_id", vectors=False).select("unit_id", "mst", "since")
+    units = units.unionByName(spark.createDataFrame([(None, "7", 0), (1_000, None, 0), (1_001, "6", 0)], units.schema)).localCheckpoint()
+    asked = S.asked_about(questions, vectors=False)
+    asks = asked.collect()
+    want = [(q["qid"], u["unit_id"]) for u in units.collect() for q in asks if u["mst"] == q["mst"] and u["since"] <= q["until"]]
+    for name, value in (("LISTED", listed), ("LISTS", 2), ("ASKED_BLOCK", 3)):
+        monkeypatch.setattr(S, name, value)
+    got = [(r["qid"], r["unit_id"]) for r in S.valid_pairs(units, asked).collect()]
+    assert None in {u for _, u in got} and len(want) < sum(q["mst"] in ("7", "8") for q in asks) * 153
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@needs_data
+def test_as_of_filter_of_a_large_law_takes_little_space(spark, tmp_path):
+    units = spark.read.parquet(f"{DATA}/units.parquet").crossJoin(spark.range(4).withColumnRenamed("id", "copy"))
+    own = {"unit_id": F.col("unit_id") * 4 + F.col("copy"), "mst": F.lit("7"), "title": F.concat(F.lit("글 "), F.col("unit_id"), F.lit("-"), F.col("copy"))}
+    units.withColumns(own).drop("copy").write.parquet(f"{tmp_path}/units.parquet")
+    date = F.when(F.col("id") % 2 == 0, "2021-01-01")
+    asked = spark.range(1_777).select(F.col("id").alias("qid"), F.lit("7").alias("mst"), F.lit("부칙").alias("query"), date.alias("as_of"))
+    statutes.as_of_filter(spark, str(tmp_path), asked).write.parquet(f"{tmp_path}/out")
+    since = [r[0] for r in spark.read.parquet(f"{tmp_path}/units.parquet").select(U.active_as_of(F.lit("2021-01-01"))).collect()]
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert got.count() == got.distinct().count() == 888 * len(since) + 889 * sum(since) > 2_000_000
+    assert sum(p.stat().st_size for p in tmp_path.glob("out/*.parquet")) < 0.5 * got.count()
+
+
 @needs_data
 def test_meta_match_all_needs_no_ids(spark, monkeypatch):
     assert numbers_no_units(spark, "meta_match_all", monkeypatch)
